@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from termscope.functions.text import clean_text
 from termscope.operators import reviews as R
+from termscope.sources.tables import spread
 
 # The texts are invented, so the checks use words that occur in them.
 POSITIVE = ("the", "and", "that", "les", "und", "los")
@@ -26,7 +27,9 @@ ASSIGNMENTS = ("an", "ent")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # The text tables are single files here, and their queries are CPU bound.
+    return spread(df) if name in ("documents", "pages") else df
 
 
 def term_of(ts: Column) -> Column:

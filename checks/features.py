@@ -2,29 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from checks import bindings as B
 from checks.sql import CTE, query
+from checks.tidy import tidy
 from termscope.operators import features as P
 from termscope.plans.enrollment import enrollment_features
 
-WHOLE = ("total_course_forum_reviews", "instructor_count")
-
-
-def tidy(df):
-    """Doubles to 6 digits, integers to 64 bits: types both engines agree on."""
-    out = []
-    for name, kind in df.dtypes:
-        c = F.col(name)
-        if kind == "double" or kind.startswith("decimal") or kind == "float":
-            c = F.round(c.cast("double"), 6)
-        elif kind in ("int", "smallint", "tinyint"):
-            c = c.cast("bigint")
-        out.append(c.alias(name))
-    return df.select(*out)
-
-
 def features(spark, sf_dir):
     return tidy(P.feature_order(enrollment_features(B.tables(spark, sf_dir))))
 

@@ -7,10 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks import features
+from checks import dashboard, features, reviews
 from termscope.session import tune
 
-MODULES = (features,)
+MODULES = (features, reviews, dashboard)
 
 
 def _tuned(run: Callable) -> Callable[[SparkSession, str], DataFrame]:

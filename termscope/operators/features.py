@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from termscope import defaults as D
 from termscope.functions import codes as C
+from termscope.operators.upsert import set_if_present
 
 LINK_COLUMNS = ("term_id", "course_id", "professor_id", "rating", "difficulty")
 # (aspect, source column, output column)
@@ -35,6 +36,32 @@ def resolve_link_table(links: DataFrame, section: DataFrame) -> DataFrame:
     return links.join(owner, ["term_id", "class_nbr"]).select(*LINK_COLUMNS)
 
 
+def apply_ratings(
+    links: DataFrame, ratings: DataFrame, term: str, section: DataFrame | None = None
+) -> DataFrame:
+    """Write page ratings into the links of one term; missing figures change nothing.
+
+    ``ratings`` has course_id, professor_id, rating and difficulty.  Links of
+    the older layout need ``section`` to find their course.
+    """
+    pair = ["course_id", "professor_id"]
+    figures = {c: F.col(c).try_cast("decimal(10,2)") for c in ("rating", "difficulty")}
+    new = ratings.withColumns(figures).groupBy(*pair).agg(
+        F.max("rating").alias("new_rating"), F.max("difficulty").alias("new_difficulty")
+    )
+    rows = links
+    if "course_id" not in links.columns:
+        owner = section.select("term_id", "class_nbr", "course_id")
+        rows = links.join(owner, ["term_id", "class_nbr"], "left")
+    here = F.col("term_id") == term
+    return rows.join(new, pair, "left").select(
+        *[
+            set_if_present(F.when(here, F.col(f"new_{c}")), F.col(c)).alias(c) if c in figures else c
+            for c in links.columns
+        ]
+    )
+
+
 def professor_features(
     links: DataFrame, reviews: DataFrame, aspects: DataFrame, dedupe_fanout: bool = False
 ) -> DataFrame:
