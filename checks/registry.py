@@ -7,10 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks import dashboard, features, loading, pages, reviews
+from checks import dashboard, features, loading, models, pages, reviews
 from termscope.session import tune
 
-MODULES = (features, reviews, dashboard, loading, pages)
+MODULES = (features, reviews, dashboard, loading, pages, models)
 
 
 def _tuned(run: Callable) -> Callable[[SparkSession, str], DataFrame]:
