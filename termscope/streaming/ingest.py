@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from termscope import schemas as S
 from termscope.operators.upsert import dedupe
@@ -15,9 +14,9 @@ KEYS = ("term_id", "class_nbr")
 NEWEST = ("fetched_at", "page_fetched")
 
 
-def raw_rows_of(files: DataFrame) -> DataFrame:
-    """Landed files to raw class rows."""
-    return to_raw_rows(unwrap_classes(from_files(files)))
+def raw_rows_of(pages: DataFrame) -> DataFrame:
+    """Response pages to raw class rows."""
+    return to_raw_rows(unwrap_classes(pages))
 
 
 def stream_ingest(
@@ -38,13 +37,14 @@ def stream_ingest(
     on read; ``compact`` folds the batches.
     """
     if isinstance(source, str):
-        source = (
+        files = (
             spark.readStream.format("text")
             .option("wholetext", True)
             .option("recursiveFileLookup", True)
             .option("maxFilesPerTrigger", files_per_batch)
             .load(source)
         )
+        source = from_files(files)
 
     def write(batch: DataFrame, number: int) -> None:
         latest = dedupe(to_rows(batch), keys, newest, keep="last")
@@ -71,8 +71,3 @@ def compact(spark: SparkSession, target: str, into: str, schema: str = S.RAW_CLA
     """Write the current rows as the single batch of a new target folder."""
     rows = current_rows(spark, target, schema, keys, newest)
     rows.write.mode("overwrite").parquet(f"{into}/batch=-1")
-
-
-def latest_fetch(df: DataFrame) -> DataFrame:
-    """Newest fetch time per term, to see how far ingestion has come."""
-    return df.groupBy("term_id").agg(F.max("fetched_at").alias("fetched_at"))
