@@ -9,7 +9,7 @@ from termscope.operators import features as P
 from termscope.plans.enrollment import enrollment_features
 
 def features(spark, sf_dir):
-    return tidy(P.feature_order(enrollment_features(B.tables(spark, sf_dir))))
+    return tidy(enrollment_features(B.tables(spark, sf_dir)))
 
 
 def features_legacy(spark, sf_dir):

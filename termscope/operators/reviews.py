@@ -38,39 +38,54 @@ def parse_reviews(
     updated_at, professor_review_text, course_review_text, full_review_text.
     """
 
+    name = F.col("professor_name")
+
     def is_tail(s: Column) -> Column:
         return s.rlike(D.NUMERIC_LINE) | s.isin(*D.TOGGLE_LINES)
 
-    last = F.array_max(F.transform("lines", lambda s, n: F.when(~is_tail(s), n + 1)))
-    body = blocks.withColumn("n_lines", F.size("lines")).withColumn(
-        "lines", F.slice("lines", 1, F.coalesce(last, F.lit(0)))
-    )
-    name = F.col("professor_name")
-    marks = body.filter(F.size("lines") >= 3).select(
-        "*",
-        _first(F.col("lines"), season).alias("review_term_label"),
-        _first(F.col("lines"), updated).alias("mark"),
-    )
-    after = F.slice("lines", F.array_position("lines", F.col("mark")).cast("int") + 1, F.size("lines"))
-
     def is_content(s: Column) -> Column:
         skip = (s == name) | (s == normalize_name(name)) | s.isin(*prompts)
         return ~(F.coalesce(skip, F.lit(False)) | s.rlike(season) | s.rlike(updated))
 
-    content = marks.filter(F.col("mark").isNotNull()).withColumn("content", F.filter(after, is_content))
-    texts = content.filter(F.size("content") > 0).select(
-        *[c for c in blocks.columns if c != "lines"],
-        "n_lines",
-        "review_term_label",
-        F.trim(F.replace("mark", F.lit("Updated"), F.lit(""))).alias("updated_at"),
-        F.get("content", F.lit(0)).alias("professor_review_text"),
-        F.when(
-            F.size("content") > 1,
-            F.array_join(F.slice("content", 2, F.size("content")), "\n\n"),
-        ).alias("course_review_text"),
-        clean_text(F.array_join("content", " ")).alias("full_review_text"),
-    )
-    return texts.filter(F.col("full_review_text") != "")
+    def trimmed(lines: Column) -> Column:
+        last = F.array_max(F.transform(lines, lambda s, n: F.when(~is_tail(s), n + 1)))
+        kept = F.slice(lines, 1, F.coalesce(last, F.lit(0)))
+        return F.struct(F.size(lines).alias("n_lines"), kept.alias("lines"))
+
+    def marked(b: Column) -> Column:
+        return F.struct(
+            b["n_lines"].alias("n_lines"),
+            b["lines"].alias("lines"),
+            _first(b["lines"], season).alias("term"),
+            _first(b["lines"], updated).alias("mark"),
+        )
+
+    def with_content(b: Column) -> Column:
+        start = F.array_position(b["lines"], b["mark"]).cast("int") + 1
+        after = F.slice(b["lines"], start, F.size(b["lines"]))
+        return b.withField("content", F.filter(after, is_content))
+
+    def review(b: Column) -> Column:
+        content = b["content"]
+        rest = F.array_join(F.slice(content, 2, F.size(content)), "\n\n")
+        return F.struct(
+            b["n_lines"].alias("n_lines"),
+            b["term"].alias("review_term_label"),
+            F.trim(F.replace(b["mark"], F.lit("Updated"), F.lit(""))).alias("updated_at"),
+            F.get(content, F.lit(0)).alias("professor_review_text"),
+            F.when(F.size(content) > 1, rest).alias("course_review_text"),
+            clean_text(F.array_join(content, " ")).alias("full_review_text"),
+        )
+
+    # The block goes through the steps as an array of one element, or none once
+    # a step rejects it.  As row filters, the conditions would be pushed down
+    # one below the other and each would compute all steps before it again.
+    found = F.filter(F.transform(F.array("lines"), trimmed), lambda b: F.size(b["lines"]) >= 3)
+    found = F.filter(F.transform(found, marked), lambda b: b["mark"].isNotNull())
+    found = F.filter(F.transform(found, with_content), lambda b: F.size(b["content"]) > 0)
+    found = F.filter(F.transform(found, review), lambda r: r["full_review_text"] != "")
+    keep = [c for c in blocks.columns if c != "lines"]
+    return blocks.select(*keep, F.explode(found).alias("r")).select(*keep, "r.*")
 
 
 def review_key(df: DataFrame) -> Column:
