@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from checks import dashboard, features, loading, models, pages, reviews
-from termscope.session import tune
+from termscope.session import local_scratch, tune
 
 MODULES = (features, reviews, dashboard, loading, pages, models)
 
@@ -16,7 +16,7 @@ MODULES = (features, reviews, dashboard, loading, pages, models)
 def _tuned(run: Callable) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(run)
     def call(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run(tune(spark), sf_dir)
+        return run(local_scratch(tune(spark)), sf_dir)
 
     return call
 

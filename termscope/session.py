@@ -14,6 +14,7 @@ _RUNTIME = {
     # Split a hot join key even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+_SCRATCH = "spark.checkpoint.dir"
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -24,17 +25,26 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder name under the cluster's shared checkpoint folder.
+    """A fresh folder name under the cluster's shared folder ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` names that folder.  Only when it is unset, as in
-    local tests, is a temporary folder used.
+    Raises where that is unset: a folder of one machine would lose rows.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get(_SCRATCH, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="termscope-")
+        raise ValueError(f"set {_SCRATCH} to a folder that the driver and all executors share, or pass a path")
     return f"{root.rstrip('/')}/termscope-{uuid.uuid4().hex}"
 
 
+def local_scratch(spark: SparkSession) -> SparkSession:
+    """Give a one-process session (tests, the bench) a scratch folder, if it has none.
+
+    On a cluster nothing is set, so that ``scratch_dir`` raises.
+    """
+    if not spark.conf.get(_SCRATCH, None) and spark.sparkContext.master.split("[")[0] == "local":
+        spark.conf.set(_SCRATCH, tempfile.mkdtemp(prefix="termscope-"))
+    return spark
+
+
 def materialize(df, path: str | None = None):
     """Write ``df`` as Parquet in the shared folder and read it back."""
     spark = df.sparkSession

@@ -19,7 +19,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    from termscope.session import tune
+    from termscope.session import local_scratch, tune
 
-    yield tune(session)
+    yield local_scratch(tune(session))
     session.stop()
