@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscope.llm import exact, mixing, tokens
+from termscope.llm import exact, licenses, mixing, tokens, warc
 from termscope.session import local_scratch, scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.with_crc(tokens.read_tokens(spark, path))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3)
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -76,12 +80,22 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM t WINDOW same AS (PARTITION BY text)
 """
 
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark)
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    records = warc.read_records(warc.read_index(spark, path), path, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 _QUERIES: dict[str, Query] = {
     "op2_token_output": op2_token_output,
+    "op4_license_scan": op4_license_scan,
     "op6_mixing": op6_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_warc": op9_warc,
 }
-ORACLES = {"op6_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL}
+ORACLES = {"op4_license_scan": licenses.report_sql(), "op6_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL}
 
 
 def _prepared(run: Query) -> Query:
