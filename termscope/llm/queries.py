@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscope.llm import exact, licenses, mixing, tokens, warc
+from termscope.llm import exact, licenses, mixing, tokens, toxicity, warc
 from termscope.session import local_scratch, scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,19 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+def held_out(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=~held_out(F.col("doc_id")))
+    scored = toxicity.with_score(docs, model)
+    return scored.select(
+        "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3)
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -91,6 +104,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     "op2_token_output": op2_token_output,
     "op4_license_scan": op4_license_scan,
+    "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
