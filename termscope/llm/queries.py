@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscope.llm import exact, licenses, mixing, tokens, toxicity, warc
+from termscope.llm import exact, licenses, mixing, near, tokens, toxicity, warc
 from termscope.session import local_scratch, scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_classes(table(spark, sf_dir, "documents"), threshold=0.8).drop("th")
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
     tokens.write_tokens(
@@ -102,6 +106,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_output": op2_token_output,
     "op4_license_scan": op4_license_scan,
     "op5_toxicity": op5_toxicity,
