@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscope.llm import exact, licenses, mixing, near, tokens, toxicity, warc
+from termscope.llm import decontaminate, exact, licenses, mixing, near, tokens, toxicity, warc
 from termscope.session import local_scratch, scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,16 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.coverage(docs, table(spark, sf_dir, "benchmark"), threshold=0.5, min_match=5)
+    best = F.array_max(F.transform("leaks", lambda x: x.covered / x.words))
+    return found.select(
+        "doc_id", (F.size("leaks") > 0).alias("contaminated"), F.size("leaks").alias("n_items"),
+        F.coalesce(best, F.lit(0.0)).alias("coverage"),
+        F.array_sort(F.transform("leaks", lambda x: x.item_id)).alias("item_ids"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_output": op2_token_output,
@@ -113,6 +123,7 @@ _QUERIES: dict[str, Query] = {
     "op6_mixing": op6_mixing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLES = {"op4_license_scan": licenses.report_sql(), "op6_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL}
 
