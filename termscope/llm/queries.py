@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscope.llm import decontaminate, exact, licenses, mixing, near, tokens, toxicity, warc
+from termscope.llm import decontaminate, exact, licenses, lm, mixing, near, spans, tokens, toxicity, warc
 from termscope.session import local_scratch, scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.with_crc(tokens.read_tokens(spark, path))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = spans.without_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.withColumn("n_removed", F.size("removed"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
@@ -86,6 +91,11 @@ FROM placed
 """
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lm.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -118,9 +128,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_output": op2_token_output,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
