@@ -78,31 +78,30 @@ def mixed(
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     names = [c for c in docs.columns if c not in ADDED]
     rows = docs.select(
-        F.struct(*names).alias("doc"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        draw.alias("draw"))
-    rows = rows.withColumn("chunk", F.substring("draw", 1, chunk_digits))
-    narrow = rows.select("source", "size", "chunk")
-    chunks = materialize(narrow.groupBy("source", "chunk").agg(F.sum("size").alias("chunk_size")))
-    sizes = chunks.groupBy("source").agg(F.sum("chunk_size").alias("source_size"))
+        *[F.col(f"`{c}`") for c in names], F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"),
+        draw.alias("_draw")).withColumn("_chunk", F.substring("_draw", 1, chunk_digits))
+    chunks = materialize(rows.groupBy("_source", "_chunk").agg(F.sum("_size").alias("chunk_size")))
+    sizes = chunks.groupBy(F.col("_source").alias("source")).agg(F.sum("chunk_size").alias("source_size"))
     targets = water_filled(sizes, weights, max_epochs)
 
-    earlier = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = chunks.withColumn("start", F.coalesce(F.sum("chunk_size").over(earlier), F.lit(0)))
-    t, s = targets.alias("t"), starts.alias("s")
-    starts = s.join(t, F.col("s.source").eqNullSafe(F.col("t.source"))).select(
-        F.col("s.source").alias("of_source"), F.col("s.chunk").alias("of_chunk"), "start", "source_size", "target")
+    earlier = Window.partitionBy("_source").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = chunks.withColumn("_start", F.coalesce(F.sum("chunk_size").over(earlier), F.lit(0)))
+    starts = starts.join(targets, F.col("_source").eqNullSafe(F.col("source"))).select(
+        F.col("_source").alias("_of_source"), F.col("_chunk").alias("_of_chunk"), "_start",
+        F.col("source_size").alias("_source_size"), F.col("target").alias("_target"))
 
-    within = Window.partitionBy("source", "chunk").orderBy("draw", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    within = Window.partitionBy("_source", "_chunk").orderBy("_draw", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("_inner", F.coalesce(F.sum("_size").over(within), F.lit(0)))
     joined = placed.join(
-        starts, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("chunk") == F.col("of_chunk")))
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    missing = F.col("target") - F.col("whole") * F.col("source_size")
-    once_more = F.col("start") + F.col("inner") + F.col("size") / 2 < missing
-    repeats = (F.col("whole") + once_more.cast("long")).alias("repeats")
-    return joined.withColumn("whole", whole).select(
-        "doc.*", "size", "source_size", "target", repeats
-    ).withColumn("taken", F.col("size") * F.col("repeats"))
+        starts, F.col("_source").eqNullSafe(F.col("_of_source")) & (F.col("_chunk") == F.col("_of_chunk")))
+    filled = F.floor(F.col("_target") / F.col("_source_size"))
+    joined = joined.withColumn("_whole", F.when(F.col("_source_size") > 0, filled).otherwise(0).cast("long"))
+    missing = F.col("_target") - F.col("_whole") * F.col("_source_size")
+    once_more = F.col("_start") + F.col("_inner") + F.col("_size") / 2 < missing
+    repeats = F.col("_whole") + once_more.cast("long")
+    return joined.select(
+        *[F.col(f"`{c}`") for c in names], F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"), repeats.alias("repeats"), (F.col("_size") * repeats).alias("taken"))
 
 
 def repeated(mix: DataFrame) -> DataFrame:
