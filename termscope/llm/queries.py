@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,6 +137,7 @@ _QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op4_license_scan": licenses.report_sql(), "op6_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL}
 
