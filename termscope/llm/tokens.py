@@ -12,9 +12,9 @@ indexes, so that a read of some ids or of the metadata alone skips the rest.
 ``parts/`` has one row per file with the ids in all files before it.
 
 Encoding goes through the tokenizers library.  Words repeat, so a worker
-encodes each distinct run of blanks and word once and then looks it up; a run
-ends where the library's own first split ends, hence the ids are those of the
-whole text.  Texts with characters for which the two notions of a blank differ,
+encodes each distinct run of blanks and letters, or of blanks and anything up
+to the next blank, once and then looks it up; a run ends where the library's own
+first split ends, hence the ids are those of the whole text.  Texts with characters for which the two notions of a blank differ,
 or with the text of a special token, are encoded in one piece.
 
 Defined results: a null text counts as empty and gives the end id alone; null
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,36 +37,81 @@ from pyspark.sql import functions as F
 TOKENS = "tokens"
 PARTS = "parts"
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, tokens array<int>"
-_CACHE_ENTRIES = 1 << 19
-_RUN = re.compile(r"\s*\S+|\s+")
+_CACHE_ENTRIES = 500_000  # per generation
+_RUN = re.compile(r"\s*[^\W\d_]+|\s*\S+|\s+")
 _ODD_BLANKS = re.compile("[\x1c-\x1f᠎]")
 _loaded: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Whole-text encoding with a bounded memory of words."""
+    """Whole-text encoding that remembers runs in two generations.
 
-    def __init__(self, path: str):
+    A full young generation becomes the old one, so frequent runs stay and rare ones leave.
+    """
+
+    def __init__(self, path: str, entries: int = _CACHE_ENTRIES):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        blank = self.library.pre_tokenizer.pre_tokenize_str(" ")[0][0]  # how the vocabulary writes it
+        self.opens = {i for t, i in self.library.get_vocab().items() if t.startswith(blank)}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.entries = entries
+
+    def _encoded(self, texts: list[str]) -> list:
+        return self.library.encode_batch_fast(texts, add_special_tokens=False)
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<i4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> bytes:
-        """Ids of ``text`` as little-endian 32-bit integers."""
-        if _ODD_BLANKS.search(text) or any(s in text for s in self.special):
-            return self.whole([text])[0]
-        runs = _RUN.findall(text)
-        if len(self.known) > _CACHE_ENTRIES:
-            self.known.clear()
-        new = [r for r in dict.fromkeys(runs) if r not in self.known]
+        return [array("i", e.ids).tobytes() for e in self._encoded(texts)]
+
+    def _learn(self, runs: list[str]) -> None:
+        """Encode new runs; runs of one blank and letters go side by side in one text, which costs less."""
+        plain = [r for r in runs if r[0] == " " and r[1:].isalpha()]
+        opens = self.opens
+        groups = [plain[k : k + 64] for k in range(0, len(plain), 64)]
+        alone = [r for r in runs if not (r[0] == " " and r[1:].isalpha())]
+        for group, coded in zip(groups, self._encoded(["".join(g) for g in groups]), strict=True):
+            ids = coded.ids
+            cuts = [4 * k for k, i in enumerate(ids) if i in opens]  # a run's blank is in its first token
+            if len(cuts) != len(group):
+                alone += group
+                continue
+            data = array("i", ids).tobytes()
+            self.young.update(zip(group, (data[i:j] for i, j in zip(cuts, [*cuts[1:], len(data)], strict=True)), strict=True))
+        if alone:
+            self.young.update(zip(alone, self.whole(alone), strict=True))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 32-bit integers in the machine's order (little-endian on all platforms of Spark)."""
+        split = [None if _ODD_BLANKS.search(t) or any(s in t for s in self.special) else _RUN.findall(t) for t in texts]
+        if len(self.young) > self.entries:
+            self.old, self.young = self.young, {}
+        known, new = self.young, []
+        for run in {r for runs in split if runs for r in runs if r not in known}:
+            ids = self.old.get(run)
+            if ids is None:
+                new.append(run)
+            else:
+                known[run] = ids
         if new:
-            self.known.update(zip(new, self.whole(new), strict=True))
-        return b"".join(map(self.known.__getitem__, runs))
+            self._learn(new)
+        return [self.whole([t])[0] if runs is None else b"".join(map(known.__getitem__, runs))
+                for t, runs in zip(texts, split, strict=True)]
+
+
+def slices(texts: pa.Array, chars: int = 1 << 18) -> Iterator[list[str]]:
+    """The batch's texts in lists of about ``chars`` characters."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text.as_py())
+        size += len(some[-1])
+        if size >= chars:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
 
 
 def encoder(path: str) -> Encoder:
@@ -82,7 +128,7 @@ def _encode(path: str, end_id: int):
         part, start, encode = TaskContext.get().partitionId(), 0, encoder(path)
         end = np.asarray([end_id], "<i4").tobytes()
         for batch in batches:
-            coded = [encode(t) + end for t in batch.column(1).to_pylist()]
+            coded = [ids + end for some in slices(batch.column(1)) for ids in encode(some)]
             sizes = np.fromiter((len(x) // 4 for x in coded), np.int64, len(coded))
             after = np.cumsum(sizes)
             values = pa.Array.from_buffers(pa.int32(), int(after[-1]) if len(after) else 0, [None, pa.py_buffer(b"".join(coded))])
@@ -106,6 +152,7 @@ def write_tokens(
     options = {
         "parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes, "parquet.page.row.count.limit": page_rows,
         "parquet.writer.version": "PARQUET_2_0", "compression": "zstd",
+        "parquet.compression.codec.zstd.level": 1,
     } | {f"parquet.enable.dictionary#{c}": "false" for c in ("doc_id", "part", "local_start", "n_tokens")}
     for key, value in options.items():
         writer = writer.option(key, value)
