@@ -50,7 +50,7 @@ def reject_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.repeated(mixing.mixed(docs, weights=(5, 2, 1), max_epochs=3))
+    return mixing.mixed_corpus(docs, weights=(5, 2, 1), max_epochs=3)
 
 
 @_stage

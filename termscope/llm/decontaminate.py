@@ -31,6 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termscope.llm.columns import fresh
+
 _WORD = re.compile(r"\w+")
 _BASE = np.uint64(0x100000001B3)
 _CACHE_WORDS = 1 << 19
@@ -185,20 +187,24 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, seed: int, block_w
 def coverage(
     docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, min_match: int = 5, block_words: int = 1 << 21,
     text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+    leaks_col: str = "leaks",
 ) -> DataFrame:
-    """The documents with ``leaks``: items covered to ``threshold`` or more, with words covered, tiles and first place."""
-    kept = [c for c in docs.columns if c != "leaks"]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(text_col), F.lit("")).alias("_leak_text"))
+    """The documents with ``leaks_col``: items covered to ``threshold`` or more, with words covered, tiles and first place."""
+    kept = [c for c in docs.columns if c != leaks_col]
+    text = fresh(docs.columns, "_leak_text")
+    own = [F.col(f"`{c}`") for c in kept]
+    rows = docs.select(*own, F.coalesce(F.col(text_col), F.lit("")).alias(text))
     found = []
     for block in _blocks(benchmark, item_id_col, item_text_col, min_match, block_words):
-        name = f"_leaks_{len(found)}"
+        name = fresh([*docs.columns, text], f"_leaks_{len(found)}")
         # the text stays last for the next block
-        rows = _pass(rows, block, threshold, name).select(*kept, *found, name, "_leak_text")
+        rows = _pass(rows, block, threshold, name).select(*own, *found, name, text)
         found.append(name)
     leaks = reduce(F.concat, [F.col(c) for c in found]) if found else F.array().cast(_ITEM)
-    return rows.select(*[F.col(f"`{c}`") for c in kept], leaks.alias("leaks"))
+    return rows.select(*own, leaks.alias(leaks_col))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """The documents that hold no benchmark item, with their own columns."""
-    return coverage(docs, benchmark, threshold, **options).where(F.size("leaks") == 0).drop("leaks")
+    name = fresh(docs.columns, "leaks")
+    return coverage(docs, benchmark, threshold, leaks_col=name, **options).where(F.size(name) == 0).drop(name)

@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termscope.llm.columns import fresh
 from termscope.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -106,5 +107,13 @@ def mixed(
 
 def repeated(mix: DataFrame) -> DataFrame:
     """The mixed corpus itself: each document as often as it is taken, with the documents' own columns."""
+    copy = fresh(mix.columns, "_copy")
     each = F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))
-    return mix.where("repeats > 0").withColumn("_copy", each).drop("_copy", *ADDED)
+    return mix.where("repeats > 0").withColumn(copy, each).drop(copy, *ADDED)
+
+
+def mixed_corpus(docs: DataFrame, **options) -> DataFrame:
+    """The mixed corpus with all of the documents' columns, also those named like what ``mixed`` adds."""
+    aside = {c: fresh(docs.columns, f"_{c}_of_docs") for c in docs.columns if c in ADDED}
+    out = repeated(mixed(docs.withColumnsRenamed(aside), **options))
+    return out.withColumnsRenamed({b: a for a, b in aside.items()}).select(*[F.col(f"`{c}`") for c in docs.columns])

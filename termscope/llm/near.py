@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termscope.llm.columns import fresh
 from termscope.llm.graph import components
 from termscope.session import materialize
 
@@ -295,8 +296,9 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
 
 def one_per_class(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, one of each class, with their own columns; rows that agree in id and text count as one."""
+    th, kept_id, kept_th = (fresh(docs.columns, c) for c in ("_th", "_kept_id", "_kept_th"))
     found = near_classes(docs, threshold, id_col=id_col, text_col=text_col, **options).where("kept").select(
-        F.col(id_col).alias("_kept_id"), F.col("th").alias("_kept_th")).distinct()
-    hashed = docs.withColumn("_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_th") == F.col("_kept_th"))
-    return hashed.join(found, same, "left_semi").dropDuplicates([id_col, "_th"]).drop("_th")
+        F.col(id_col).alias(kept_id), F.col("th").alias(kept_th)).distinct()
+    hashed = docs.withColumn(th, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    same = F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(th) == F.col(kept_th))
+    return hashed.join(found, same, "left_semi").dropDuplicates([id_col, th]).drop(th)

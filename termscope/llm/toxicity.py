@@ -5,7 +5,8 @@ embeddings.  A window of a few words is the mean of its bags, and a linear
 softmax over two classes reads that mean.  A document is toxic if any of its
 windows is: P = 1 - prod(1 - p_window), so one short passage in a long clean
 text still counts, and training learns embeddings and softmax from document
-labels alone.  A misspelt word shares most n-grams with the word it hides.
+labels alone.  Scoring takes the product over the ``strongest`` windows of the whole
+text, so that a very long clean text does not add up to a toxic one.  A misspelt word shares most n-grams with the word it hides.
 
 Training runs in numpy on a bounded sample of the labelled rows
 (``Settings.sample_rows``, the rows with the smallest seeded hashes of each
@@ -29,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termscope.llm.columns import fresh
+
 _WORD = re.compile(r"\w+")
 _CACHE_WORDS = 1 << 19
 
@@ -43,7 +46,9 @@ class Settings:
     buckets: int = 1 << 18
     dim: int = 8
     window: int = 6
+    strongest: int = 3
     epochs: int = 6
+    steps: int = 500  # at least; a small sample is read more often
     rate: float = 0.1
     floor: float = 1e-4  # of a bucket's summed squared gradients
     batch: int = 48
@@ -86,7 +91,10 @@ class Model:
         total = np.concatenate([np.zeros((1, 2)), np.cumsum(sums[places], axis=0)])
         part = total[last] - total[first]
         logit = part[:, 0] / np.maximum(part[:, 1], 1) + self.bias
-        return -np.expm1(-np.bincount(of, np.logaddexp(0, logit), len(texts)))
+        clean = np.logaddexp(0, logit)  # -log(1 - p_window)
+        rank = np.lexsort((-clean, of))
+        strong = rank[np.arange(len(rank)) - np.searchsorted(of, of) < self.settings.strongest]
+        return -np.expm1(-np.bincount(of[strong], clean[strong], len(texts)))
 
 
 def grams(words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -151,7 +159,7 @@ def fit(texts: list[str], labels: list[int], settings: Settings) -> Model:
     ids, at = bags(list(words), settings)
     truth = np.array(labels, float)
     emb_sq, top_sq, bias_sq = np.full(settings.buckets, settings.floor), np.full(top.shape, 1e-2), np.full(2, 1e-2)
-    for _ in range(settings.epochs):
+    for _ in range(max(settings.epochs, -(-settings.steps * settings.batch // len(docs)))):
         order = draw.permutation(len(docs))
         for start in range(0, len(order), settings.batch):
             some = order[start : start + settings.batch]
@@ -231,7 +239,8 @@ def slices(texts: pa.Array, chars: int = 1 << 20) -> Iterator[list[str]]:
 def with_score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """Add ``score_col``, the probability that the whole text is toxic (an old column of that name is replaced)."""
     kept = [c for c in docs.columns if c != score_col]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(text_col), F.lit("")).alias("_scored_text"))
+    read = F.coalesce(F.col(text_col), F.lit("")).alias(fresh(docs.columns, "_scored_text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], read)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,5 +259,5 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", score_col:
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """The documents that score below ``threshold``, with their own columns."""
-    name = "_toxicity"
+    name = fresh(docs.columns, "_toxicity")
     return with_score(docs, model, text_col, name).where(F.col(name) < threshold).drop(name)
