@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from termscope.functions.text import clean_text
 from termscope.operators import reviews as R
-from termscope.sources.tables import spread
+from termscope.session import materialize
 
 # The texts are invented, so the checks use words that occur in them.
 POSITIVE = ("the", "and", "that", "les", "und", "los")
@@ -27,9 +27,7 @@ ASSIGNMENTS = ("an", "ent")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    # The text tables are single files here, and their queries are CPU bound.
-    return spread(df) if name in ("documents", "pages") else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def term_of(ts: Column) -> Column:
@@ -152,7 +150,7 @@ def review_aspects(rows: DataFrame) -> DataFrame:
 
 
 def tables(spark: SparkSession, sf_dir: str, legacy: bool = False) -> dict[str, DataFrame]:
-    rows = reviews(spark, sf_dir)
+    rows = materialize(reviews(spark, sf_dir))  # read twice below
     return {
         "course": course(spark, sf_dir),
         "section": section(spark, sf_dir),

@@ -59,6 +59,15 @@ def unwrap_classes(spark, sf_dir):
     ))
 
 
+def rejected_pages(spark, sf_dir):
+    """Every tenth page cut short, every thirtieth gone."""
+    page = F.col("page")
+    body = F.when(page % 30 == 0, F.lit(None).cast("string")).when(page % 10 == 0, F.substring("body", 1, 9)).otherwise(F.col("body"))
+    cut = pages(spark, sf_dir).withColumn("body", body)
+    read = C.unwrap_classes(cut).groupBy("page").agg(F.count("*").alias("classes"))
+    return tidy(C.rejected_pages(cut).select("page", "error").join(read, "page", "full"))
+
+
 def raw_rows(spark, sf_dir):
     return tidy(C.to_raw_rows(C.unwrap_classes(pages(spark, sf_dir))).drop("fetched_at"))
 
@@ -213,6 +222,7 @@ def copy_coerce(spark, sf_dir):
 QUERIES = {
     "unwrap_classes": unwrap_classes,
     "raw_rows": raw_rows,
+    "rejected_pages": rejected_pages,
     "course_rows": course_rows,
     "section_rows": section_rows,
     "instructor_rows": instructor_rows,
@@ -296,6 +306,13 @@ _RATED = """
 ORACLES = {
     "unwrap_classes": query(
         "SELECT '1262' AS term, page, user_id AS crse_id, class_nbr FROM landed", **_CLASSES),
+    "rejected_pages": query("""
+        SELECT coalesce(p.page, l.page) AS page, p.error, l.classes
+        FROM (SELECT DISTINCT event_id // 4 AS page,
+                     CASE WHEN event_id // 4 % 30 = 0 THEN 'no body' ELSE 'no JSON in 9 characters' END AS error
+              FROM events WHERE event_id // 4 % 10 = 0) p
+        FULL JOIN (SELECT page, count(*) AS classes FROM landed WHERE page % 10 <> 0 GROUP BY page) l ON l.page = p.page""",
+        **_CLASSES),
     "raw_rows": query("""
         SELECT '1262' AS term_id, class_nbr, page AS page_fetched,
                '{"class_nbr":' || CASE WHEN e % 2 = 0 THEN class_nbr ELSE '"' || class_nbr || '"' END

@@ -105,6 +105,29 @@ def run_ledger(spark, sf_dir):
     return tidy(Q.run_ledger(sources, rules, errors))
 
 
+def _broken(spark, sf_dir):
+    """All pages, every tenth with markup that no parser reads."""
+    bad = F.when(F.col("page_id") % 10 == 0, F.concat("html", F.lit("<![oops[x]]>"))).otherwise(F.col("html"))
+    return B.read(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("source_id"), F.concat(F.lit("P"), "page_id").alias("program_code"), "url", bad.alias("raw_html"))
+
+
+def ledger_from_pages(spark, sf_dir):
+    pages = _broken(spark, sf_dir)
+    rules = Q.requirement_rules(pages, ("h1",), "raw_html", CODE)
+    ledger = Q.run_ledger(pages, rules, X.page_errors(pages))
+    runs = Q.run_rows(ledger, "h1", F.timestamp_seconds(F.lit(1_700_000_000)))
+    lines = runs.join(ledger.select("source_id", "parse_status", "parse_error"), "source_id")
+    return tidy(lines.select(
+        "run_id", "source_id", "parser_name", "run_status", "parse_status", "parse_error",
+        F.col("completed_at").cast("string").alias("completed_at"), F.col("rules_written").isNull().alias("nothing_written")))
+
+
+def requirement_ids(spark, sf_dir):
+    rules = Q.with_rule_ids(Q.rules_from_items(items(spark, sf_dir), CODE))
+    return tidy(rules.select("rule_code", "program_id", "group_id", "rule_id"))
+
+
 def _joined(spark, sf_dir):
     line = B.read(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("program_id"),
@@ -148,6 +171,8 @@ QUERIES = {
     "requirement_codes": requirement_codes,
     "requirement_groups": requirement_groups,
     "run_ledger": run_ledger,
+    "ledger_from_pages": ledger_from_pages,
+    "requirement_ids": requirement_ids,
     "requirement_signals": requirement_signals,
     "demand_score": demand_score,
 }
@@ -251,6 +276,17 @@ ORACLES = {
         LEFT JOIN (SELECT source_id, count(DISTINCT group_code) AS g, count(*) AS r,
                           sum(CASE WHEN coded THEN 2 ELSE 0 END) AS c FROM item GROUP BY 1)
              ON source_id = s_suppkey""", **_REQ),
+    "ledger_from_pages": """
+        SELECT md5(len(page_id::VARCHAR)::VARCHAR || ':' || page_id || ',2:h1,19:2023-11-14 22:13:20') AS run_id,
+               page_id AS source_id, 'h1' AS parser_name, CASE WHEN bad THEN 'failed' ELSE 'success' END AS run_status,
+               CASE WHEN bad THEN 'failed' ELSE 'parsed' END AS parse_status,
+               CASE WHEN bad THEN 'AssertionError: unknown status keyword ''oops'' in marked section' END AS parse_error,
+               '2023-11-14 22:13:20' AS completed_at, bad AS nothing_written
+        FROM (SELECT page_id, page_id % 10 = 0 AS bad FROM pages)""",
+    "requirement_ids": query("""
+        SELECT rule_code, program_id, group_id, md5('32:' || group_id || ',' || len(rule_code) || ':' || rule_code) AS rule_id
+        FROM (SELECT *, md5('32:' || program_id || ',' || len(group_code) || ':' || group_code) AS group_id
+              FROM (SELECT *, md5(len('P' || source_id) || ':P' || source_id) AS program_id FROM item))""", **_REQ),
     "requirement_signals": query("""
         SELECT d.program_id, d.course_id, CASE WHEN l.course_id IS NULL THEN 0 ELSE 1 END::BIGINT AS major_required,
                coalesce(required_by_major_count, 0) AS required_by_major_count,

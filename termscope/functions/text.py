@@ -106,11 +106,10 @@ def term_count(col: Column, terms: Sequence[str]) -> Column:
 
 def course_codes(col: Column, pattern: str = D.COURSE_CODE) -> Column:
     """Course codes in the upper-cased text as (subject_id, catalog_nbr) structs."""
-    upper = F.upper(col)
-    subjects = F.regexp_extract_all(upper, F.lit(pattern), F.lit(1))
-    numbers = F.regexp_extract_all(upper, F.lit(pattern), F.lit(2))
-    return F.zip_with(
-        subjects,
-        numbers,
-        lambda s, n: F.struct(s.alias("subject_id"), n.cast("int").alias("catalog_nbr")),
-    )
+    whole = F.regexp_extract_all(F.upper(col), F.lit(pattern), F.lit(0))
+
+    def split(code: Column) -> Column:
+        group = [F.regexp_extract(code, pattern, k) for k in (1, 2)]
+        return F.struct(group[0].alias("subject_id"), group[1].cast("int").alias("catalog_nbr"))
+
+    return F.transform(whole, split)

@@ -74,6 +74,11 @@ def dashboard(tables: Mapping[str, DataFrame], term: str | None = D.DEFAULT_TERM
         "overall_sentiment",
         F.coalesce("total_reviews", F.lit(0)).alias("total_reviews"),
     )
+    return shown
+
+
+def dashboard_order(shown: DataFrame) -> DataFrame:
+    """The order in which the rows are shown; for the sink, as it sorts all rows."""
     return shown.orderBy("subject_id", "catalog_nbr", "class_nbr")
 
 

@@ -25,6 +25,12 @@ def has_html(pages: DataFrame, html: str = "raw_html") -> DataFrame:
     return pages.filter(F.col(html) != "")
 
 
+def page_errors(pages: DataFrame, html: str = "raw_html", key: Sequence[str] = ("source_id",)) -> DataFrame:
+    """Pages that the parser could not read, with its message; their other extracts are empty."""
+    parsed = has_html(pages, html).select(*key, outline(F.col(html))["error"].alias("error"))
+    return parsed.filter(F.col("error").isNotNull())
+
+
 def with_outline(pages: DataFrame, html: str = "raw_html") -> DataFrame:
     """Replace the HTML column of non-empty pages by its outline ``page``."""
     return has_html(pages, html).withColumn("page", outline(F.col(html))).drop(html)
@@ -145,32 +151,28 @@ def page_ratings(
         lambda n: F.struct(n.alias("node"), F.lower(_joined(page, n)).alias("text")),
     )
     outlined = with_outline(pages, html).select(*key, "page", boxes.alias("boxes"), people.alias("people"))
-    rows = outlined.withColumn("professor_name", F.explode("people"))
 
     def size(b: Column) -> Column:
         return b["node"]["stop"] - b["node"]["i"]
 
-    hits = F.filter("boxes", lambda b: F.contains(b["text"], F.lower("professor_name")))
-    if innermost:
-        smallest = F.array_min(F.transform(hits, size))
-        hits = F.filter(hits, lambda b: size(b) == smallest)
-    box = F.col("box")
+    def figures(name: Column) -> Column:
+        hits = F.filter("boxes", lambda b: F.contains(b["text"], F.lower(name)))
+        if innermost:
+            smallest = F.array_min(F.transform(hits, size))
+            hits = F.filter(hits, lambda b: size(b) == smallest)
 
-    def figure(name: str) -> Column:
-        inside = F.filter(
-            page["nodes"], lambda n: (n["tag"] == "p") & (n["id"] == name) & _below(n, box)
-        )
-        first = F.get(inside, F.lit(0))
-        text = F.when(first.isNotNull(), F.array_join(_strings(page, first), ""))
-        return null_if(text)
-
-    found = rows.withColumn("box", F.get(hits, F.lit(0))["node"])
-    return found.select(
-        *key,
-        "professor_name",
-        figure("rating").alias("rating"),
-        figure("difficulty").alias("difficulty"),
-    )
+        def figure(box: Column, which: str) -> Column:
+            inside = F.filter(page["nodes"], lambda n: (n["tag"] == "p") & (n["id"] == which) & _below(n, box))
+            first = F.get(inside, F.lit(0))
+            return null_if(F.when(first.isNotNull(), F.array_join(_strings(page, first), "")))
+
+        return bind(F.get(hits, F.lit(0))["node"], lambda box: F.struct(
+            name.alias("professor_name"), figure(box, "rating").alias("rating"), figure(box, "difficulty").alias("difficulty")))
+
+    # Only the small results leave the page's row.  An outer explode keeps its
+    # filter above, which would parse each page a second time below.
+    found = outlined.select(*key, F.explode_outer(F.transform("people", figures)).alias("found"))
+    return found.filter(F.col("found").isNotNull()).select(*key, "found.*")
 
 
 def review_blocks(

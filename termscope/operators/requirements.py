@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termscope import defaults as D
@@ -171,6 +171,21 @@ def run_ledger(sources: DataFrame, rules: DataFrame, errors: DataFrame | None =
     )
 
 
+def run_rows(ledger: DataFrame, parser_name: str, completed_at: Column) -> DataFrame:
+    """Ledger lines as stored runs; the id tells the source, the parser and the time apart."""
+    stamped = ledger.withColumns({"parser_name": F.lit(parser_name), "completed_at": completed_at})
+    names = ["run_id", "source_id", "parser_name", "run_status", "groups_written", "rules_written", "courses_written", "completed_at"]
+    counts = {c: F.col(c).cast("int") for c in names[4:7]}
+    return with_id(stamped, "run_id", ["source_id", "parser_name", "completed_at"]).withColumns(counts).select(*names)
+
+
+def open_runs(sources: DataFrame, parser_name: str, started_at: Column) -> DataFrame:
+    """The rows that say ``running`` before a parser starts; ``run_rows`` of the same stamp replace them."""
+    lines = sources.select("source_id", F.lit("running").alias("run_status")).withColumns(
+        {c: F.lit(None).cast("int") for c in ("groups_written", "rules_written", "courses_written")})
+    return run_rows(lines, parser_name, started_at).withColumn("completed_at", F.lit(None).cast("timestamp"))
+
+
 def ledger_totals(ledger: DataFrame) -> DataFrame:
     """Attempted, succeeded and failed runs."""
     return ledger.agg(

@@ -127,8 +127,16 @@ def replace_slice(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> Da
 
 
 def with_id(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
-    """Add a stable 64-bit surrogate key computed from the natural key."""
-    return df.withColumn(name, F.xxhash64(*keys))
+    """Add a stable surrogate key, the MD5 of the natural key's values.
+
+    Each value is written with its length, and a null as ``-``, so that no two
+    keys give the same text; 128 bits leave no collisions to expect.
+    """
+    def part(key: str) -> Column:
+        value = F.col(key).cast("string")
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    return df.withColumn(name, F.md5(F.concat_ws(",", *map(part, keys))))
 
 
 def set_if_present(new: Column, old: Column) -> Column:

@@ -14,16 +14,6 @@ COPY_ORDER = (
 FLAG_COLUMNS = {"course": ("has_discussion", "has_lab")}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row work on an input of very few splits.
-
-    An input with two splits per core or more, as any large one has, is left
-    as it is and not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
-
-
 def coerce_flags(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """0/1 or null flags to booleans; null is false; absent columns are skipped."""
     present = {c: F.coalesce(F.col(c).cast("int"), F.lit(0)) != 0 for c in columns if c in df.columns}

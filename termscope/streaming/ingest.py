@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from termscope import schemas as S
 from termscope.operators.upsert import dedupe
-from termscope.sources.classes import from_files, to_raw_rows, unwrap_classes
+from termscope.sources.classes import from_files, rejected_pages, to_raw_rows, unwrap_classes
 
 KEYS = ("term_id", "class_nbr")
 NEWEST = ("fetched_at", "page_fetched")
@@ -28,13 +28,16 @@ def stream_ingest(
     keys=KEYS,
     newest=NEWEST,
     files_per_batch: int = 1000,
+    rejects: str | None = None,
 ) -> None:
     """Take in everything that landed since the last call, then stop.
 
     A batch writes only its own latest row per key, as ``batch=N`` below
     ``target``.  Its cost does not depend on what is stored, and a batch that
     is run again after a failure overwrites itself.  ``current_rows`` merges
-    on read; ``compact`` folds the batches.
+    on read; ``compact`` folds the batches.  Pages that cannot be read are
+    written below ``rejects`` in the same way; without that folder they fail
+    the batch instead of getting lost.
     """
     if isinstance(source, str):
         files = (
@@ -47,6 +50,12 @@ def stream_ingest(
         source = from_files(files)
 
     def write(batch: DataFrame, number: int) -> None:
+        if to_rows is raw_rows_of:
+            unread = rejected_pages(batch)
+            if rejects:
+                unread.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+            elif not unread.isEmpty():
+                raise ValueError(f"batch {number} holds pages without JSON, e.g. {unread.first()}; pass a folder for rejects")
         latest = dedupe(to_rows(batch), keys, newest, keep="last")
         latest.write.mode("overwrite").parquet(f"{target}/batch={number}")
 

@@ -105,15 +105,17 @@ def test_replace_slice_and_ids(spark):
     assert rows_of(U.replace_slice(old, new, ["k"])) == [(1, "z"), (2, "c"), (3, "y")]
     many = spark.range(20000).withColumn("k", F.concat(F.lit("k"), "id"))
     assert U.with_id(many, "key", ["k"]).select("key").distinct().count() == 20000
+    odd = [(None, "a"), ("a", None), ("", "a"), ("a", ""), (None, None), ("-", "a"), ("1:a", None), ("a,1:b", "c"), ("a", "b,1:c")]
+    assert U.with_id(spark.createDataFrame(odd, "x string, y string"), "key", ["x", "y"]).select("key").distinct().count() == len(odd)
 
 
 def test_apply_ratings_both_layouts(spark):
-    new = spark.createDataFrame([(1, 7, "4.5", None)], "course_id int, professor_id bigint, rating string, difficulty string")
+    new = spark.createDataFrame([(1, "7", "4.5", None)], "course_id int, professor_id string, rating string, difficulty string")
     links = spark.createDataFrame(
-        [("1262", 1, 7, None, Decimal("2.00")), ("1258", 1, 7, None, None)], S.SECTION_PROFESSOR)
+        [("1262", 1, "7", None, Decimal("2.00")), ("1258", 1, "7", None, None)], S.SECTION_PROFESSOR)
     got = rows_of(P.apply_ratings(links, new, "1262"), "term_id")
-    assert got == [("1258", 1, 7, None, None), ("1262", 1, 7, Decimal("4.50"), Decimal("2.00"))]
-    old = spark.createDataFrame([("1262", "n1", 7, None, None), ("1262", "n2", 7, None, None)], S.SECTION_PROFESSOR_LEGACY)
+    assert got == [("1258", 1, "7", None, None), ("1262", 1, "7", Decimal("4.50"), Decimal("2.00"))]
+    old = spark.createDataFrame([("1262", "n1", "7", None, None), ("1262", "n2", "7", None, None)], S.SECTION_PROFESSOR_LEGACY)
     section = spark.createDataFrame([("1262", "n1", 1), ("1262", "n2", 2)], "term_id string, class_nbr string, course_id int")
     got = rows_of(P.apply_ratings(old, new, "1262", section).select("class_nbr", "rating"))
     assert got == [("n1", Decimal("4.50")), ("n2", None)]
