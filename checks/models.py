@@ -71,7 +71,16 @@ def standardized(spark, sf_dir):
 def one_hot(spark, sf_dir):
     rows = M.drop_leaky(facts(spark, sf_dir).withColumn("id", F.concat_ws("-", "term_id", "class_nbr")))
     rows = rows.select("id", "season", "component", "course_level", "catalog_nbr", "has_lab")
-    return tidy(M.one_hot(rows, M.categories(rows, ("season", "component", "course_level"))))
+    return tidy(M.one_hot(rows, ("season", "component", "course_level")))
+
+
+def one_hot_wide(spark, sf_dir):
+    """Every class number as a category of its own."""
+    rows = facts(spark, sf_dir).select(F.when(F.col("capacity") % 9 != 0, F.col("class_nbr")).alias("class_nbr"))
+    encoded, names = M.encode(rows, ["class_nbr"])
+    places = encoded.groupBy("class_nbr", F.col("class_nbr_index").cast("bigint").alias("place")).agg(
+        F.count("*").alias("rows"))
+    return tidy(places.withColumn("names", F.lit(len(names["class_nbr"]))))
 
 
 def term_split(spark, sf_dir):
@@ -181,6 +190,7 @@ QUERIES = {
     "scaler": scaler,
     "standardized": standardized,
     "one_hot": one_hot,
+    "one_hot_wide": one_hot_wide,
     "term_split": term_split,
     "section_pool": section_pool,
     "demand_grid": demand_grid,
@@ -320,6 +330,12 @@ ORACLES = {
                {_flags("season", ("fall", "spring", "summer"))},
                {_flags("component", ("DIS", "LAB", "LEC"))}, {_flags("course_level", _LEVELS)}
         FROM bare""", **_FACTS),
+    "one_hot_wide": query("""
+        SELECT c AS class_nbr, count(*) AS rows, (SELECT count(DISTINCT c) + 1 FROM shown) AS names,
+               (SELECT count(DISTINCT c) FROM shown) * (c IS NULL)::BIGINT
+               + (CASE WHEN c IS NULL THEN 0 ELSE dense_rank() OVER (ORDER BY c NULLS LAST) - 1 END) AS place
+        FROM shown GROUP BY c""", **_FACTS, shown="""
+        SELECT CASE WHEN capacity % 9 <> 0 THEN class_nbr END AS c FROM bare"""),
     "term_split": query("""
         SELECT min(term_id) AS first_term, max(term_id) AS last_term FROM section
         UNION ALL SELECT term_id, count(*)::VARCHAR FROM section

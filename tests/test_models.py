@@ -163,11 +163,29 @@ def test_split_scaler_dummies(spark):
         M.term_split(df.filter("term_id = '1'"))
     scaler = X.fit_scaler(train, ["x", "c"])
     assert scaler == {"x": (2.0, 1.0), "c": (5.0, 1.0)}
-    hot = M.one_hot(df, M.categories(df, ["k"]))
+    hot = M.one_hot(df, ["k"])
     assert [tuple(r) for r in hot.orderBy("term_id", "x").select("k_a", "k_b", "k_nan").collect()] == [
         (1, 0, 0), (0, 0, 1), (1, 0, 0), (0, 1, 0)]
-    with pytest.raises(ValueError):
-        M.categories(df, ["k"], limit=1)
+
+
+def test_many_values_stay_sparse(spark):
+    rows = [(k, f"v{k:05d}" if k % 7 else None, float(k % 3)) for k in range(6000)]
+    df = spark.createDataFrame(rows, "n int, k string, x double")
+    inputs, names = M.model_inputs(df, [], ["k"], [])
+    scale = M.fit_scale(inputs)
+    assert len(names) == 2 + 1 + sum(v is not None for _, v, _ in rows) and names[-1] == "k_nan"
+    got = M.scaled(inputs, scale).collect()
+    assert all(len(r.features.indices) <= 3 for r in got)
+    nulls = np.array([v is None for _, v, _ in rows], float)
+    assert scale.mean[-1] == pytest.approx(nulls.mean()) and scale.deviation[-1] == pytest.approx(nulls.std())
+
+
+def test_fits_report_a_missing_optimum(spark):
+    _, _, _, df = vectors(spark)
+    with pytest.raises(RuntimeError):
+        M.fit_fill_model(df, "y", max_iter=2)
+    with pytest.raises(RuntimeError):
+        M.fit_probability_model(df, "p", max_iter=1)
 
 
 def vectors(spark, seed=0, n=300):
