@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import bindings as B
-from checks.sql import query
+from checks.sql import query, term_of
 from checks.tidy import big, dbl, tidy
 from termscope import defaults as D
 from termscope.operators import features as P
@@ -167,6 +167,30 @@ def demand_grid(spark, sf_dir):
     ))
 
 
+def students(spark, sf_dir):
+    """One context per customer."""
+    n = F.col("c_custkey")
+    area = F.element_at(F.array(*map(F.lit, AREAS)), (n % 3 + 1).cast("int"))
+    return B.read(spark, sf_dir, "customer").select(
+        n.alias("student_id"), F.lit("senior").alias("class_standing"), area.alias("interest_area"),
+        (4 - n % 4).cast("int").alias("priority_score"), (n % 80).cast("double").alias("enrollment_slot_hours"),
+        (F.lit(1000) + n % 5 * 1000).cast("int").alias("max_course_level"), (n % 10 / 10).alias("schedule_flexibility"),
+        F.lit(0.0).alias("difficulty_tolerance"), (F.col("c_acctbal").cast("double") / 10000 - 0.5).alias("planning_noise"))
+
+
+def demand_pairs(spark, sf_dir):
+    """Every customer with the sections of each course ordered, in the term of the order line; reported per section."""
+    line = B.read(spark, sf_dir, "lineitem").join(B.read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    wanted = line.select(
+        F.col("o_custkey").alias("student_id"), B.term_of(F.col("l_shipdate")).alias("term_id"),
+        F.col("l_partkey").cast("int").alias("course_id"))
+    scores = G.score_grid(G.candidate_pairs(students(spark, sf_dir), _pool(spark, sf_dir), wanted), AREAS)
+    return tidy(scores.groupBy("term_id", "class_nbr").agg(
+        F.count("*").alias("contexts"), F.sum("level_ok").alias("level_ok"), F.sum("interest_match").alias("matches"),
+        F.avg("student_course_demand").alias("demand"), F.avg("registration_competitiveness").alias("competitiveness"),
+        F.avg("got_in_probability").alias("probability")))
+
+
 def _labelled(spark, sf_dir):
     """The grid with an outcome column (the reference draws it at random)."""
     return _grid(spark, sf_dir).withColumn("got_in", (F.col("got_in_probability") >= 0.5).cast("int"))
@@ -194,6 +218,7 @@ QUERIES = {
     "term_split": term_split,
     "section_pool": section_pool,
     "demand_grid": demand_grid,
+    "demand_pairs": demand_pairs,
     "fill_model_predictions": fill_model_predictions,
     "fill_model_metrics": fill_model_metrics,
     "top_sections": top_sections,
@@ -290,6 +315,20 @@ _POOLED = {
                + 0.45 * want - 1.1 * rivalry - 0.02 * greatest(current_waitlist, 0)
                + 0.012 * greatest(0, least(500, capacity)) + noise))))) AS probability FROM weighed""",
 }
+_PAIRED = {
+    **_POOLED,
+    "filled": _POOLED["filled"].replace("SELECT term_id, class_nbr,", "SELECT term_id, class_nbr, course_id,"),
+    "context": """
+        SELECT c_custkey AS student_id, c_custkey % 3 AS area, 4 - c_custkey % 4 AS priority_score,
+               (c_custkey % 80)::DOUBLE AS slot, 1000 + c_custkey % 5 * 1000 AS max_level,
+               (c_custkey % 10) / 10.0::DOUBLE AS flexibility, c_acctbal::DOUBLE / 10000 - 0.5 AS noise
+        FROM customer""",
+    "wanted": f"""
+        SELECT DISTINCT o_custkey, {term_of("l_shipdate")} AS wanted_term, l_partkey
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "pair": _POOLED["pair"].replace("FROM pool p JOIN context k ON true", """FROM pool p
+        JOIN wanted ON wanted_term = term_id AND l_partkey = course_id JOIN context k ON student_id = o_custkey"""),
+}
 _LEVELS = (1000, 2000, 3000, 4000)
 
 
@@ -350,4 +389,9 @@ ORACLES = {
                round(avg(rivalry), 6)::DOUBLE AS competitiveness, round(min(probability), 6) AS lowest,
                round(avg(probability), 6) AS probability, round(max(probability), 6) AS highest
         FROM chance GROUP BY 1, 2""", **_POOLED),
+    "demand_pairs": query("""
+        SELECT term_id, class_nbr, count(*) AS contexts, sum(level_ok)::BIGINT AS level_ok,
+               sum(matched)::DOUBLE AS matches, round(avg(want), 6)::DOUBLE AS demand,
+               round(avg(rivalry), 6)::DOUBLE AS competitiveness, round(avg(probability), 6) AS probability
+        FROM chance GROUP BY 1, 2""", **_PAIRED),
 }
