@@ -228,11 +228,10 @@ def requirement_items(
     heads = F.filter(nodes, lambda n: n["tag"].isin(*headings))
 
     def items_after(h: Column) -> Column:
-        siblings = F.filter(nodes, lambda n: (n["parent"] == h["parent"]) & (n["i"] > h["i"]))
-        stop = F.array_min(
-            F.transform(F.filter(siblings, lambda n: n["tag"].isin(*headings)), lambda n: n["i"])
-        )
-        section = F.filter(siblings, lambda n: stop.isNull() | (n["i"] < stop))
+        def until_next(siblings: Column) -> Column:
+            later = F.transform(F.filter(siblings, lambda n: n["tag"].isin(*headings)), lambda n: n["i"])
+            last = F.coalesce(F.array_min(later), F.lit(2**31 - 1))
+            return bind(last, lambda stop: F.filter(siblings, lambda n: n["tag"].isin("ul", "ol", "p") & (n["i"] < stop)))
 
         def texts(n: Column) -> Column:
             bullets = F.transform(
@@ -242,7 +241,8 @@ def requirement_items(
                 n["tag"] == "p", F.array(_joined(page, n))
             )
 
-        listed = F.filter(section, lambda n: n["tag"].isin("ul", "ol", "p"))
+        after = F.filter(nodes, lambda n: (n["parent"] == h["parent"]) & (n["i"] > h["i"]))
+        listed = bind(after, until_next)
         return F.filter(F.flatten(F.transform(listed, texts)), lambda s: s != "")
 
     groups = F.transform(
@@ -269,5 +269,6 @@ def requirement_items(
     )
     outlined = with_outline(pages, html)
     keep = [c for c in outlined.columns if c != "page"]
-    rows = outlined.select(*keep, F.posexplode(rules).alias("position", "rule"))
+    rows = outlined.select(*keep, F.posexplode_outer(rules).alias("position", "rule"))
+    rows = rows.filter(F.col("rule").isNotNull())  # an inner explode would parse each page twice
     return rows.select(*keep, (F.col("position") + 1).alias("display_order"), "rule.*")

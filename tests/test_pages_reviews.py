@@ -1,5 +1,7 @@
 """Page extraction, review parsing, aspects and requirements."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from termscope.operators import extract as X
@@ -25,6 +27,19 @@ def frame(spark, html):
     return spark.createDataFrame([(1, html), (2, ""), (3, None)], "course_id int, raw_html string")
 
 
+def test_large_pages_are_parsed_once_and_in_time(spark):
+    heads = "".join(f"<h2>g{k}</h2><ul><li>CS {1000 + k}</li></ul><p>t{k}</p>" for k in range(300))
+    people = "".join(f'<li><a href="/course/9/{k}">Name {k}</a><p id="rating">4</p></li>' for k in range(300))
+    pages = spark.createDataFrame([(1, "P", heads, people)], "course_id int, program_code string, raw_html string, listing string")
+    items = X.requirement_items(pages.drop("listing"))
+    ratings = X.page_ratings(pages.select("course_id", "listing"), "https://site.example", html="listing")
+    started = time.monotonic()
+    assert items.count() == 600 and ratings.count() == 300
+    assert time.monotonic() - started < 60
+    for df in (items, ratings):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+
+
 def test_links(spark):
     got = {(r.professor_name, r.professor_page_url) for r in X.page_links(frame(spark, PAGE), SITE).collect()}
     assert got == {("Jane D.", f"{SITE}/course/1/2"), ("Bob Ray", f"{SITE}/course/1/3/")}
