@@ -6,9 +6,9 @@ document ids, rows in ascending id order, with the columns
     doc_id, part (place of the file), local_start (ids before the row in its
     file), n_tokens, tokens (list<int>)
 
-The token column is dictionary encoded, the integer columns are delta encoded
-(format version 2), row groups and pages are small, and the writer adds column and offset
-indexes, so that a read of some ids or of the metadata alone skips the rest.
+The token column is dictionary encoded, the integer columns are delta encoded,
+row groups and pages are small, and column and offset indexes are written, so
+that a read of some ids or of the metadata alone skips the rest.
 ``parts/`` has one row per file with the ids in all files before it.
 
 Encoding goes through the tokenizers library.  Words repeat, so a worker
@@ -28,17 +28,24 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from termscope.session import materialize
+
 TOKENS = "tokens"
 PARTS = "parts"
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, tokens array<int>"
-_CACHE_ENTRIES = 500_000  # per generation
-_RUN = re.compile(r"\s*[^\W\d_]+|\s*\S+|\s+")
+_CACHE_ENTRIES = 600_000  # per generation
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ӿ"  # scripts with the fast path; others go up to the next blank
+_RUN = re.compile(rf" ?[{_LETTERS}]+|\s*\S+|\s+")
 _ODD_BLANKS = re.compile("[\x1c-\x1f᠎]")
 _loaded: dict[str, Encoder] = {}
 
@@ -55,7 +62,9 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         blank = self.library.pre_tokenizer.pre_tokenize_str(" ")[0][0]  # how the vocabulary writes it
-        self.opens = {i for t, i in self.library.get_vocab().items() if t.startswith(blank)}
+        vocabulary = self.library.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for t, i in vocabulary.items() if t.startswith(blank)]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.entries = entries
@@ -69,17 +78,15 @@ class Encoder:
     def _learn(self, runs: list[str]) -> None:
         """Encode new runs; runs of one blank and letters go side by side in one text, which costs less."""
         plain = [r for r in runs if r[0] == " " and r[1:].isalpha()]
-        opens = self.opens
-        groups = [plain[k : k + 64] for k in range(0, len(plain), 64)]
+        groups = ["".join(plain[k : k + 64]) for k in range(0, len(plain), 64)]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self._encoded(groups)), np.int32)
+        cuts = (np.flatnonzero(self.opens[ids]) * 4).tolist()  # a run's blank is in its first token
         alone = [r for r in runs if not (r[0] == " " and r[1:].isalpha())]
-        for group, coded in zip(groups, self._encoded(["".join(g) for g in groups]), strict=True):
-            ids = coded.ids
-            cuts = [4 * k for k, i in enumerate(ids) if i in opens]  # a run's blank is in its first token
-            if len(cuts) != len(group):
-                alone += group
-                continue
-            data = array("i", ids).tobytes()
-            self.young.update(zip(group, (data[i:j] for i, j in zip(cuts, [*cuts[1:], len(data)], strict=True)), strict=True))
+        if len(cuts) == len(plain):
+            data = ids.tobytes()
+            self.young.update(zip(plain, map(data.__getitem__, map(slice, cuts, [*cuts[1:], len(data)])), strict=True))
+        else:
+            alone = runs
         if alone:
             self.young.update(zip(alone, self.whole(alone), strict=True))
 
@@ -88,8 +95,11 @@ class Encoder:
         split = [None if _ODD_BLANKS.search(t) or any(s in t for s in self.special) else _RUN.findall(t) for t in texts]
         if len(self.young) > self.entries:
             self.old, self.young = self.young, {}
-        known, new = self.young, []
-        for run in {r for runs in split if runs for r in runs if r not in known}:
+        known = self.young
+        found = [list(map(known.get, runs)) if runs else [] for runs in split]
+        gaps = [[k for k, ids in enumerate(some) if ids is None] for some in found]
+        new = []
+        for run in {runs[k] for runs, some in zip(split, gaps, strict=True) for k in some}:
             ids = self.old.get(run)
             if ids is None:
                 new.append(run)
@@ -97,8 +107,10 @@ class Encoder:
                 known[run] = ids
         if new:
             self._learn(new)
-        return [self.whole([t])[0] if runs is None else b"".join(map(known.__getitem__, runs))
-                for t, runs in zip(texts, split, strict=True)]
+        for runs, some, places in zip(split, found, gaps, strict=True):
+            for k in places:
+                some[k] = known[runs[k]]
+        return [self.whole([t])[0] if runs is None else b"".join(some) for t, runs, some in zip(texts, split, found, strict=True)]
 
 
 def slices(texts: pa.Array, chars: int = 1 << 18) -> Iterator[list[str]]:
@@ -121,48 +133,98 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
-def _encode(path: str, end_id: int):
+@dataclass(frozen=True)
+class Layout:
+    """Sizes inside a token file; rows per page are a multiple of ``page_rows``."""
+
+    group_ids: int = 4 << 20
+    page_bytes: int = 64 << 10
+    page_rows: int = 64
+
+    def writer(self, sink) -> pq.ParquetWriter:
+        delta = {c: "DELTA_BINARY_PACKED" for c in ("doc_id", "part", "local_start", "n_tokens")}
+        return pq.ParquetWriter(
+            sink, _FILE, version="2.6", data_page_version="2.0", compression="zstd", compression_level=1,
+            use_dictionary=["tokens.list.element"], column_encoding=delta, write_page_index=True,
+            data_page_size=self.page_bytes, write_batch_size=self.page_rows)
+
+
+_FILE = pa.schema([
+    ("doc_id", pa.int64()), ("part", pa.int32()), ("local_start", pa.int64()), ("n_tokens", pa.int64()),
+    ("tokens", pa.list_(pa.field("element", pa.int32())))])
+
+
+def _encode(path: str, tokenizer: str, end_id: int, layout: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, start, encode = TaskContext.get().partitionId(), 0, encoder(path)
-        end = np.asarray([end_id], "<i4").tobytes()
-        for batch in batches:
-            coded = [ids + end for some in slices(batch.column(1)) for ids in encode(some)]
+        task = TaskContext.get()
+        part, start, encode = task.partitionId(), 0, encoder(tokenizer)
+        end = np.asarray([end_id], np.int32).tobytes()
+        store, root = fs.FileSystem.from_uri(f"{path}/{TOKENS}")
+        name = f"part-{part:05d}.parquet"
+        mine = f"{root}/.{name}.{task.taskAttemptId()}"  # a repeated task writes anew and replaces the file
+        rows, held = 0, ([], [])
+
+        def table() -> pa.Table:
+            nonlocal start
+            ids, coded = held
             sizes = np.fromiter((len(x) // 4 for x in coded), np.int64, len(coded))
             after = np.cumsum(sizes)
-            values = pa.Array.from_buffers(pa.int32(), int(after[-1]) if len(after) else 0, [None, pa.py_buffer(b"".join(coded))])
-            offsets = pa.array(np.concatenate([[0], after]).astype(np.int32))
+            values = pa.Array.from_buffers(pa.int32(), int(after[-1]), [None, pa.py_buffer(b"".join(coded))])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], after]).astype(np.int32)), values)
+            out = pa.Table.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(np.full(len(coded), part, np.int32)), pa.array(start + after - sizes),
+                 pa.array(sizes), lists.cast(_FILE.field("tokens").type)], schema=_FILE)
+            start += int(after[-1])
+            ids.clear()
+            coded.clear()
+            return out
+
+        writer, size = None, 0
+        with store.open_output_stream(mine) as sink:
+            for batch in batches:
+                ids = iter(batch.column(0).to_pylist())
+                for some in slices(batch.column(1)):
+                    for data in encode(some):
+                        held[0].append(next(ids))
+                        held[1].append(data + end)
+                        size += len(data) // 4 + 1
+                    if size >= layout.group_ids:
+                        writer = writer or layout.writer(sink)
+                        rows += len(held[0])
+                        writer.write_table(table())
+                        size = 0
+            if held[0]:
+                writer = writer or layout.writer(sink)
+                rows += len(held[0])
+                writer.write_table(table())
+            if writer:
+                writer.close()
+        if rows:
+            store.move(mine, f"{root}/{name}")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(coded), part, np.int32)), pa.array(start + after - sizes),
-                 pa.array(sizes), pa.ListArray.from_arrays(offsets, values)],
-                names=["doc_id", "part", "local_start", "n_tokens", "tokens"])
-            start += int(after[-1]) if len(after) else 0
+                [pa.array([part], pa.int32()), pa.array([rows], pa.int64()), pa.array([start], pa.int64())],
+                names=["part", "n_rows", "n_ids"])
+        else:
+            store.delete_file(mine)
     return run
 
 
 def write_tokens(
     docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-    row_group_bytes: int = 16 << 20, page_bytes: int = 64 << 10, page_rows: int = 2000,
+    layout: Layout = Layout(),
 ) -> None:
     """Encode ``text_col`` of all rows into the token folder ``path``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    writer = dealt.mapInArrow(_encode(tokenizer, end_id), SCHEMA).write.mode("overwrite")
-    options = {
-        "parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes, "parquet.page.row.count.limit": page_rows,
-        "parquet.writer.version": "PARQUET_2_0", "compression": "zstd",
-        "parquet.compression.codec.zstd.level": 1,
-    } | {f"parquet.enable.dictionary#{c}": "false" for c in ("doc_id", "part", "local_start", "n_tokens")}
-    for key, value in options.items():
-        writer = writer.option(key, value)
-    writer.parquet(f"{path}/{TOKENS}")
-    # One row per file, so the window below is over as many rows as the write had tasks.
-    spark = docs.sparkSession
-    parts = spark.read.schema(SCHEMA).parquet(f"{path}/{TOKENS}").groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    parts.select("part", F.coalesce(before, F.lit(0)).alias("part_start")).coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/{PARTS}")
+    store, root = fs.FileSystem.from_uri(f"{path}/{TOKENS}")
+    store.create_dir(root, recursive=True)
+    written = materialize(dealt.mapInArrow(_encode(path, tokenizer, end_id, layout), "part int, n_rows long, n_ids long"))
+    # One row per file, so this window is over as many rows as the write had tasks.
+    before = F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = written.select("part", "n_rows", F.coalesce(before, F.lit(0)).alias("part_start"))
+    parts.coalesce(1).write.mode("overwrite").parquet(f"{path}/{PARTS}")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
