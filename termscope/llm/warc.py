@@ -5,7 +5,8 @@ one with the largest id is a ``response``; the others are ``revisit`` records
 that name it and hold no payload.  Each task writes one archive file (to a
 name of its own first, then moved, so that a repeated task replaces it) and
 returns the index: file, offset, length, url and digest per record, stored as
-Parquet in the same folder.
+Parquet in the same folder.  Every record is a gzip member of its own, as usual for
+archives, so offsets and lengths are those of compressed bytes.
 
 ``read_records`` takes selected index rows, deals them out by file and stretch
 of bytes, sorts them by offset and reads neighbouring records with one request.
@@ -24,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -65,8 +67,15 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return "\r\n".join(head).encode() + _END + block + _END, sha
 
 
+def packed(data: bytes) -> bytes:
+    """A gzip member without name or time, so that repeated tasks write equal bytes."""
+    member = zlib.compressobj(level=4, wbits=31)
+    return member.compress(data) + member.flush()
+
+
 def parse(data: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers and payload of one record; raises on a record that is not whole."""
+    """Headers and payload of one packed record; raises on a record that is not whole."""
+    data = zlib.decompress(data, wbits=31)
     at = data.index(_END)
     lines = data[:at].decode().split("\r\n")
     head = dict(x.split(": ", 1) for x in lines[1:])
@@ -108,7 +117,7 @@ def write_archive(
         task = TaskContext.get()
         store, root = fs.FileSystem.from_uri(path)
         store.create_dir(root, recursive=True)
-        name = f"part-{task.partitionId():05d}.warc"
+        name = f"part-{task.partitionId():05d}.warc.gz"
         mine = f"{root}/.{name}.{task.taskAttemptId()}"
         at = 0
         with store.open_output_stream(mine) as out:
@@ -116,6 +125,7 @@ def write_archive(
                 index = []
                 for page_id, url, payload, revisit, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     data, sha = record(page_id, url, payload.encode(), refers_to, revisit, date)
+                    data = packed(data)
                     out.write(data)
                     kind = "revisit" if revisit else "response"
                     index.append((page_id, url, name, at, len(data), sha, kind, refers_to))
