@@ -18,7 +18,8 @@ HEADLINE = (
     "enrollment_features", "python_features", "dashboard_rows", "review_sentiment", "review_summary",
     "aspect_summary", "parse_reviews", "unwrap_classes", "section_rows", "upsert_latest",
     "upsert_or_merge", "replace_slice", "page_links", "page_text", "requirement_codes",
-    "requirement_signals", "roc_auc", "threshold_sweep", "standardized",
+    "requirement_signals", "roc_auc", "threshold_sweep", "standardized", "medians", "page_ratings",
+    "requirement_rules", "one_hot_wide",
 )
 
 
@@ -37,6 +38,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "4g"))
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.sql.files.minPartitionNum", cpus)
+        .config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

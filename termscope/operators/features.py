@@ -41,14 +41,17 @@ def apply_ratings(
 ) -> DataFrame:
     """Write page ratings into the links of one term; missing figures change nothing.
 
-    ``ratings`` has course_id, professor_id, rating and difficulty.  Links of
-    the older layout need ``section`` to find their course.
+    ``ratings`` has course_id, professor_id, rating and difficulty, and may
+    have fetched_at.  Of several rows for one pair the last page's counts, without
+    times the one with the highest figures; rating and difficulty stay together.
+    Links of the older layout need ``section`` to find their course.
     """
     pair = ["course_id", "professor_id"]
     figures = {c: F.col(c).try_cast("decimal(10,2)") for c in ("rating", "difficulty")}
-    new = ratings.withColumns(figures).groupBy(*pair).agg(
-        F.max("rating").alias("new_rating"), F.max("difficulty").alias("new_difficulty")
-    )
+    both = F.struct("rating", "difficulty")
+    order = F.struct("fetched_at", both) if "fetched_at" in ratings.columns else both
+    new = ratings.withColumns(figures).groupBy(*pair).agg(F.max_by(both, order).alias("new"))
+    new = new.select(*pair, F.col("new.rating").alias("new_rating"), F.col("new.difficulty").alias("new_difficulty"))
     rows = links
     if "course_id" not in links.columns:
         owner = section.select("term_id", "class_nbr", "course_id")

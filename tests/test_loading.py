@@ -115,6 +115,13 @@ def test_apply_ratings_both_layouts(spark):
         [("1262", 1, "7", None, Decimal("2.00")), ("1258", 1, "7", None, None)], S.SECTION_PROFESSOR)
     got = rows_of(P.apply_ratings(links, new, "1262"), "term_id")
     assert got == [("1258", 1, "7", None, None), ("1262", 1, "7", Decimal("4.50"), Decimal("2.00"))]
+    pages = spark.createDataFrame(
+        [(1, "7", "2.0", "5.0", 1), (1, "7", "1.0", None, 2), (1, "7", "4.0", "1.0", 1)],
+        "course_id int, professor_id string, rating string, difficulty string, fetched_at int")
+    last = {r.term_id: (r.rating, r.difficulty) for r in P.apply_ratings(links, pages, "1262").collect()}
+    assert last["1262"] == (Decimal("1.00"), Decimal("2.00"))
+    last = {r.term_id: (r.rating, r.difficulty) for r in P.apply_ratings(links, pages.drop("fetched_at"), "1262").collect()}
+    assert last["1262"] == (Decimal("4.00"), Decimal("1.00"))
     old = spark.createDataFrame([("1262", "n1", "7", None, None), ("1262", "n2", "7", None, None)], S.SECTION_PROFESSOR_LEGACY)
     section = spark.createDataFrame([("1262", "n1", 1), ("1262", "n2", 2)], "term_id string, class_nbr string, course_id int")
     got = rows_of(P.apply_ratings(old, new, "1262", section).select("class_nbr", "rating"))
