@@ -23,6 +23,32 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_classes(table(spark, sf_dir, "documents"), threshold=0.8).drop("th")
 
 
+#: All pairs of documents that share a run of five words, counted in full; classes by following the links.
+OP1_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g
+  FROM worded
+), each AS (
+  SELECT doc_id, len(g) AS n, unnest(g) AS gram FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) = a.n AND a.n = b.n AS equal
+  FROM each AS a JOIN each AS b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9
+), reached(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM worded UNION SELECT y, root FROM reached JOIN links ON x = doc_id
+), classes AS (
+  SELECT doc_id, min(root) AS class_id FROM reached GROUP BY doc_id
+)
+SELECT c.doc_id, class_id, coalesce(n, 0) AS n_links, coalesce(e, 0) + 1 AS copies,
+       count(*) OVER (PARTITION BY class_id) AS class_size, c.doc_id = class_id AS kept
+FROM classes AS c
+LEFT JOIN (SELECT x, count(*) AS n, count(*) FILTER (equal) AS e FROM links GROUP BY x) ON x = c.doc_id
+"""
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
     tokens.write_tokens(
@@ -116,6 +142,22 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+OP9_SQL = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS t, CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits FROM pages
+), grouped AS (
+  SELECT *, max(page_id) OVER (PARTITION BY t) AS top FROM payloads
+)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 160, 5), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(16 * CAST(bits[i + 1] AS INT) + 8 * CAST(bits[i + 2] AS INT) + 4 * CAST(bits[i + 3] AS INT)
+                + 2 * CAST(bits[i + 4] AS INT) + CAST(bits[i + 5] AS INT) + 1 AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM grouped
+"""
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.coverage(docs, table(spark, sf_dir, "benchmark"), threshold=0.5, min_match=5)
@@ -139,7 +181,13 @@ _QUERIES: dict[str, Query] = {
     "op10_decontamination": op10_decontamination,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op4_license_scan": licenses.report_sql(), "op6_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL}
+ORACLES = {
+    "op1_ngram_jaccard_join": OP1_SQL,
+    "op4_license_scan": licenses.report_sql(),
+    "op6_mixing": OP6_SQL,
+    "op8_exact_dedup": OP8_SQL,
+    "op9_warc": OP9_SQL,
+}
 
 
 def _prepared(run: Query) -> Query:
