@@ -20,34 +20,24 @@ extra columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termscope.llm.columns import fresh
+from termscope.llm.words import WORD, hashes
 
-_WORD = re.compile(r"\w+")
 _BASE = np.uint64(0x100000001B3)
-_CACHE_WORDS = 1 << 19
-_words: dict[str, int] = {}
 
 
 def word_hashes(text: str) -> np.ndarray:
     """64-bit hash of every word, in order, lower case."""
-    words = _WORD.findall(text.lower())
-    if len(_words) > _CACHE_WORDS:
-        _words.clear()
-    for w in words:
-        if w not in _words:
-            _words[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    return hashes(WORD.findall(text.lower()))
 
 
 def rolling(words: np.ndarray, length: int) -> np.ndarray:

@@ -23,23 +23,19 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termscope.llm.columns import fresh
 from termscope.llm.graph import components
+from termscope.llm.words import WORD, hashes, mixed
 from termscope.session import materialize
 
-_WORD = re.compile(r"\w+")
-_CACHE_WORDS = 1 << 19
-_words: dict[str, int] = {}
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,41 +57,29 @@ def banding(threshold: float = 0.8, recall: float = 0.999, max_hashes: int = 128
     return best
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def shingles(text: str, width: int = 5) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``width`` words."""
-    words = _WORD.findall(text.lower())
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_words) > _CACHE_WORDS:
-        _words.clear()
-    for w in words:
-        if w not in _words:
-            _words[w] = xxhash.xxh64_intdigest(w)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    h = hashes(WORD.findall(text.lower()))
+    if not len(h):
+        return h
     n = min(width, len(h))
     runs = np.full(len(h) - n + 1, n, np.uint64)
     for k in range(n):
         runs = (runs + h[k : len(h) - n + 1 + k]) * _ODD
         runs ^= runs >> np.uint64(32)
-    return np.unique(_mixed(runs))
+    return np.unique(mixed(runs))
 
 
 def signature(grams: np.ndarray, shape: Banding, chunk: int = 4096) -> np.ndarray:
     """One 64-bit hash per band of the MinHash signature; bands never share a hash by position."""
-    seeds = _mixed(np.arange(1, 2 * shape.bands * shape.rows + 1, dtype=np.uint64) * _ODD)
+    seeds = mixed(np.arange(1, 2 * shape.bands * shape.rows + 1, dtype=np.uint64) * _ODD)
     mul, add = (seeds[0::2] | np.uint64(1))[:, None], seeds[1::2][:, None]
     least = np.full(len(mul), np.iinfo(np.uint64).max, np.uint64)
     for k in range(0, len(grams), chunk):
         least = np.minimum(least, (grams[k : k + chunk] * mul + add).min(axis=1))
     out = np.arange(shape.bands, dtype=np.uint64)
     for column in least.reshape(shape.bands, shape.rows).T:
-        out = _mixed((out + column) * _ODD)
+        out = mixed((out + column) * _ODD)
     return out.view(np.int64)
 
 
