@@ -17,7 +17,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from termscope.llm import decontaminate, mixing, near, tokens, toxicity
-from termscope.session import local_scratch, materialize, scratch_dir, tune
+from termscope.llm.session import prepared
+from termscope.session import materialize, scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,7 +28,7 @@ TOXIC_FROM = 0.5  # score from which a document is rejected
 def _stage(step: Stage) -> Stage:
     @wraps(step)
     def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        return step(local_scratch(tune(spark)), docs, sf_dir)
+        return step(prepared(spark), docs, sf_dir)
 
     return call
 
@@ -75,7 +76,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token rows of the corpus below ``sf_dir``: doc_id, start, n_tokens, tokens."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    local_scratch(tune(spark))
+    prepared(spark)
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

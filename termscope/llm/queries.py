@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termscope.llm import decontaminate, exact, licenses, lm, mixing, near, spans, tokens, toxicity, warc
-from termscope.session import local_scratch, scratch_dir, tune
+from termscope.llm.session import prepared
+from termscope.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -191,7 +192,7 @@ ORACLES = {
 
 
 def _prepared(run: Query) -> Query:
-    return lambda spark, sf_dir: run(local_scratch(tune(spark)), sf_dir)
+    return lambda spark, sf_dir: run(prepared(spark), sf_dir)
 
 
 QUERIES: dict[str, Query] = {name: _prepared(run) for name, run in _QUERIES.items()}

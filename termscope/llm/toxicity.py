@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from termscope.llm.columns import fresh
 
 _WORD = re.compile(r"\w+")
-_CACHE_WORDS = 1 << 19
+_CACHE_WORDS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -68,11 +68,14 @@ class Model:
     def __getstate__(self) -> dict:
         return {"settings": self.settings, "weight": self.weight, "bias": self.bias, "known": {}, "sums": []}
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.sums.clear()
+
     def _places(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Place in ``sums`` of every word of the texts in a row, and the sums."""
         if len(self.known) > _CACHE_WORDS:
-            self.known.clear()
-            self.sums.clear()
+            self.forget()
         new = [w for w in dict.fromkeys(w for words in texts for w in words) if w not in self.known]
         if new:
             bucket, word = grams(new, self.settings)
@@ -250,6 +253,7 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", score_col:
             parts = [model.scores(x) for x in slices(texts)]
             scores = pa.array(np.concatenate(parts) if parts else [], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores], names=[*kept, score_col])
+        model.forget()  # the worker goes on with other operators
 
     from pyspark.sql.types import DoubleType, StructField, StructType
 

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 WORD = re.compile(r"\w+")
-_KEPT = 1 << 19
+_KEPT = 1 << 17
 _known: dict[str, int] = {}
 
 
