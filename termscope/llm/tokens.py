@@ -43,10 +43,10 @@ from termscope.session import materialize
 TOKENS = "tokens"
 PARTS = "parts"
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, tokens array<int>"
-_CACHE_ENTRIES = 600_000  # per generation
+_CACHE_ENTRIES = 500_000  # per generation
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ӿ"  # scripts with the fast path; others go up to the next blank
 _RUN = re.compile(rf" ?[{_LETTERS}]+|\s*\S+|\s+")
-_ODD_BLANKS = re.compile("[\x1c-\x1f᠎]")
+_ODD_BLANKS = ("\x1c", "\x1d", "\x1e", "\x1f", "\u180e")
 _loaded: dict[str, Encoder] = {}
 
 
@@ -60,7 +60,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.odd = [*_ODD_BLANKS, *(t.content for t in self.library.get_added_tokens_decoder().values())]
         blank = self.library.pre_tokenizer.pre_tokenize_str(" ")[0][0]  # how the vocabulary writes it
         vocabulary = self.library.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -77,11 +77,12 @@ class Encoder:
 
     def _learn(self, runs: list[str]) -> None:
         """Encode new runs; runs of one blank and letters go side by side in one text, which costs less."""
-        plain = [r for r in runs if r[0] == " " and r[1:].isalpha()]
+        plain, alone = [], []
+        for run in runs:
+            (plain if run[0] == " " and run[1:].isalpha() else alone).append(run)
         groups = ["".join(plain[k : k + 64]) for k in range(0, len(plain), 64)]
         ids = np.fromiter(chain.from_iterable(e.ids for e in self._encoded(groups)), np.int32)
         cuts = (np.flatnonzero(self.opens[ids]) * 4).tolist()  # a run's blank is in its first token
-        alone = [r for r in runs if not (r[0] == " " and r[1:].isalpha())]
         if len(cuts) == len(plain):
             data = ids.tobytes()
             self.young.update(zip(plain, map(data.__getitem__, map(slice, cuts, [*cuts[1:], len(data)])), strict=True))
@@ -92,12 +93,12 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as 32-bit integers in the machine's order (little-endian on all platforms of Spark)."""
-        split = [None if _ODD_BLANKS.search(t) or any(s in t for s in self.special) else _RUN.findall(t) for t in texts]
+        split = [None if any(map(t.__contains__, self.odd)) else _RUN.findall(t) for t in texts]
         if len(self.young) > self.entries:
             self.old, self.young = self.young, {}
         known = self.young
         found = [list(map(known.get, runs)) if runs else [] for runs in split]
-        gaps = [[k for k, ids in enumerate(some) if ids is None] for some in found]
+        gaps = [_gaps(some) for some in found]
         new = []
         for run in {runs[k] for runs, some in zip(split, gaps, strict=True) for k in some}:
             ids = self.old.get(run)
@@ -113,6 +114,17 @@ class Encoder:
         return [self.whole([t])[0] if runs is None else b"".join(some) for t, runs, some in zip(texts, split, found, strict=True)]
 
 
+def _gaps(found: list[bytes | None]) -> list[int]:
+    """Places of None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 def slices(texts: pa.Array, chars: int = 1 << 18) -> Iterator[list[str]]:
     """The batch's texts in lists of about ``chars`` characters."""
     some, size = [], 0
@@ -137,7 +149,7 @@ def encoder(path: str) -> Encoder:
 class Layout:
     """Sizes inside a token file; rows per page are a multiple of ``page_rows``."""
 
-    group_ids: int = 4 << 20
+    group_ids: int = 2 << 20
     page_bytes: int = 64 << 10
     page_rows: int = 64
 
