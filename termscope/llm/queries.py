@@ -58,7 +58,7 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = spans.without_repeats(table(spark, sf_dir, "documents"))
+    cleaned = spans.without_repeats(table(spark, sf_dir, "documents"), spans.Settings(both_ends=True))
     return cleaned.withColumn("n_removed", F.size("removed"))
 
 

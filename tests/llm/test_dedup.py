@@ -215,3 +215,34 @@ def test_spans_of_edges(spark):
     got = spans.without_repeats(table(spark, EDGES)).collect()
     assert len(got) == len(EDGES)
     assert spans.without_repeats(table(spark, [])).collect() == []
+
+
+def all_runs_clean(rows, settings):
+    """Removed sentences by comparing all runs of every length."""
+    first, docs = {}, []
+    for i, t in sorted(rows):
+        worded = [tuple(spans.WORD.findall(p.lower())) for p in spans.sentences(t)]
+        ends = [(a, b) for a in range(len(worded)) for b in range(a + 1, len(worded) + 1)]
+        found = [
+            (a, b, tuple(worded[a:b])) for a, b in ends
+            if (n := sum(map(len, worded[a:b]))) >= (settings.long_words if b - a < settings.min_sentences else settings.min_words)]
+        docs.append((i, found))
+        for a, _, w in found:
+            first.setdefault(w, (i, a))
+    return {i: sorted({k for a, b, w in found if first[w] != (i, a) for k in range(a, b)}) for i, found in docs}
+
+
+def test_spans_keep_no_tail(spark):
+    draw = random.Random(4)
+    fresh = iter(range(10**6))
+    sentence = lambda n: " ".join(f"v{next(fresh)}" for _ in range(n)) + "."
+    passages = [[sentence(n) for n in sizes] for sizes in ((30, 20, 4), (45, 38), (3, 45, 2, 2), (24, 1, 39), (12, 12), (4, 20, 30))]
+    passages += [[sentence(draw.choice((1, 3, 9, 22, 39, 41))) for _ in range(draw.randrange(2, 9))] for _ in range(30)]
+    rows = [(len(passages) * c + k, " ".join([sentence(30), *p, sentence(30)])) for c in range(2) for k, p in enumerate(passages)]
+    rows += [(1000 + k, " ".join([*p, sentence(5), *p[1:], *p])) for k, p in enumerate(passages)]
+    settings = spans.Settings(both_ends=True)
+    want = all_runs_clean(rows, settings)
+    got = {r.doc_id: r.removed for r in spans.without_repeats(table(spark, rows), settings).collect()}
+    assert got == want
+    second = len(passages)
+    assert [got[second + k] for k in range(5)] == [[1, 2, 3], [1, 2], [1, 2, 3, 4], [1, 2, 3], []]
