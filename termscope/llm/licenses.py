@@ -1,8 +1,11 @@
 """License scan: an exact set-similarity join of text blocks with license templates, in DataFrame functions only.
 
-A block is a line.  A block matches a template when it holds at least
-``threshold`` of the template's distinct words.  The join never compares every
-block with every template:
+A block is a line.  With ``wrapped``, windows of words that run over line breaks
+are blocks as well: twice the longest template, from every half window on, so
+that a passage as long as a template lies in one of them wherever its lines end.
+A block matches a template when it holds at least ``threshold`` of the
+template's distinct words.  The join never compares every block with every
+template:
 
 * a block is reduced to its words that occur in any template, and blocks that
   are then shorter than the shortest requirement leave (length filter);
@@ -21,7 +24,9 @@ Beside the labels of the matched templates the scan gives the places of fixed
 base phrases, counted in words from 0 (overlapping places count).
 
 Defined results: a null text counts as empty and has no words and labels ''; repeated rows
-are scanned one by one; extra columns are not read.
+are scanned one by one; extra columns are not read; a window beside a line that
+matches the same template is part of that line's match, and neighbouring windows
+that match the same template count as one block.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termscope.session import materialize
@@ -78,14 +83,44 @@ def _places(phrase: str) -> Column:
     return F.when(F.contains(F.col("joined"), F.lit(f" {phrase} ")), starts).otherwise(F.array().cast("array<int>"))
 
 
+def _windows(step: int, vocabulary: Column) -> Column:
+    """Windows of the array ``words`` that hold words of several ``lines``, numbered -1, -2, ... in order."""
+    words, line_of = F.col("words"), F.col("line_of")
+    n = F.size(words)
+
+    def window(k: Column) -> Column:
+        start = k * step
+        return F.struct(
+            (-1 - k).alias("block"), F.get(line_of, start).alias("from"),
+            F.get(line_of, F.least(start + 2 * step, n) - 1).alias("to"),
+            F.array_intersect(F.slice(words, start + 1, F.lit(2 * step)), vocabulary).alias("words"))
+
+    last = F.greatest(F.ceil(n / step).cast("int") - 2, F.lit(0))
+    wraps = lambda k: F.get(line_of, k * step) < F.get(line_of, F.least((k + 2) * step, n) - 1)
+    return F.transform(F.filter(F.sequence(F.lit(0), last), wraps), window)
+
+
+def _once(matches: DataFrame) -> DataFrame:
+    """Matches of windows without those beside a matched line; neighbours get the first one's number."""
+    same = Window.partitionBy("uid", "template")
+    lines = F.collect_set(F.when(F.col("block") >= 0, F.col("block"))).over(same)
+    beside = F.exists("lines", lambda x: x.between(F.col("from"), F.col("to")))
+    kept = matches.withColumn("lines", lines).where((F.col("block") >= 0) | ~beside)
+    kept = kept.withColumn("window", F.col("block") < 0)
+    place = F.row_number().over(Window.partitionBy("uid", "template", "window").orderBy(F.desc("block")))
+    run = kept.withColumn("run", F.col("block") + place)
+    first = F.max("block").over(Window.partitionBy("uid", "template", "window", "run"))
+    return run.withColumn("block", F.when(F.col("window"), first).otherwise(F.col("block")))
+
+
 def scan(
     docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, phrases: Mapping[str, str] = PHRASES,
-    threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text",
+    threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text", wrapped: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, matches).
 
     documents: uid, id, n_words, places (of all base phrases), base (their labels).
-    matches: uid, block (line from 0), label, template, common, containment.
+    matches: uid, block (line from 0, or below 0 a window), label, template, common, containment.
     """
     spark = docs.sparkSession
     sets = [(label, list(dict.fromkeys(words.split(" ")))) for label, words in templates]
@@ -94,8 +129,13 @@ def scan(
 
     lines = F.transform(F.split(lowered(F.col(text_col)), "\n"), lambda x: F.regexp_extract_all(x, F.lit(WORD), F.lit(0)))
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), lines.alias("lines"))
-    known = F.transform("lines", lambda x, i: F.struct(i.alias("block"), F.array_intersect(x, vocabulary).alias("words")))
-    rows = rows.select("uid", "id", F.flatten("lines").alias("words"), known.alias("known"))
+    known = F.transform("lines", lambda x, i: F.struct(
+        i.alias("block"), i.alias("from"), i.alias("to"), F.array_intersect(x, vocabulary).alias("words")))
+    line_of = F.flatten(F.transform("lines", lambda x, i: F.array_repeat(i, F.size(x))))
+    rows = rows.select("uid", "id", F.flatten("lines").alias("words"), known.alias("known"), line_of.alias("line_of"))
+    if wrapped:
+        step = max((len(words.split(" ")) for _, words in templates), default=1)
+        rows = rows.withColumn("known", F.concat("known", _windows(step, vocabulary)))
     rows = rows.withColumn("joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
     found = F.filter("known", lambda b: F.size(b.words) >= min(needs, default=1))
     places = {label: _places(phrase) for phrase, label in phrases.items()}
@@ -107,7 +147,7 @@ def scan(
         "uid", "id", "n_words", F.concat(*at).alias("places"),
         F.array_compact(F.array(*[F.when(F.size(a) > 0, F.lit(x)) for a, x in zip(at, places, strict=True)])).alias("base"))
 
-    blocks = stored.select("uid", F.explode("blocks").alias("b")).select("uid", "b.block", "b.words")
+    blocks = stored.select("uid", F.explode("blocks").alias("b")).select("uid", "b.*")
     counts = dict(blocks.select(F.explode("words").alias("w")).groupBy("w").count().collect())  # template words only
     order = sorted({w for _, words in sets for w in words}, key=lambda w: (counts.get(w, 0), w))
     place = {w: i + 1 for i, w in enumerate(order)}
@@ -118,29 +158,29 @@ def scan(
     index = spark.createDataFrame(index, "template int, label string, rank int, i int, need int, t_ranks array<int>")
 
     ranks = F.array_sort(F.transform("words", lambda w: F.array_position(F.array(*map(F.lit, order)), w).cast("int")))
-    ranked = blocks.select("uid", "block", ranks.alias("ranks"))
+    ranked = blocks.select("uid", "block", "from", "to", ranks.alias("ranks"))
     prefix = F.slice("ranks", F.lit(1), F.size("ranks") - min(needs, default=1) + 1)
-    seeds = ranked.select("uid", "block", "ranks", F.posexplode(prefix).alias("j", "rank"))
+    seeds = ranked.select("uid", "block", "from", "to", "ranks", F.posexplode(prefix).alias("j", "rank"))
     rest = F.least(F.size("ranks") - F.col("j"), F.size("t_ranks") - F.col("i"))
     pairs = seeds.join(F.broadcast(index), "rank").where((F.size("ranks") >= F.col("need")) & (rest >= F.col("need")))
     common = F.size(F.array_intersect("ranks", "t_ranks"))
     matches = (
         pairs.withColumn("common", common).where(F.col("common") >= F.col("need"))
         .withColumn("containment", F.col("common") / F.size("t_ranks"))
-        .select("uid", "block", "label", "template", "common", "containment").distinct()
+        .select("uid", "block", "from", "to", "label", "template", "common", "containment").distinct()
     )
-    return documents, matches
+    return documents, (_once(matches) if wrapped else matches).select("uid", "block", "label", "template", "common", "containment")
 
 
 def license_report(
     docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, phrases: Mapping[str, str] = PHRASES,
-    threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text",
+    threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text", wrapped: bool = False,
 ) -> DataFrame:
     """One row per document: word and place counts, base labels, all labels, matched blocks and a score.
 
     The score is 1 where a base phrase stands, else the best containment of a matched block, else 0.
     """
-    documents, matches = scan(docs, templates, phrases, threshold, id_col, text_col)
+    documents, matches = scan(docs, templates, phrases, threshold, id_col, text_col, wrapped)
     best = matches.groupBy("uid").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best"),
         F.countDistinct("block").alias("n_blocks"))
@@ -157,7 +197,7 @@ def license_report(
 def report_sql(
     templates: Sequence[tuple[str, str]] = TEMPLATES, phrases: Mapping[str, str] = PHRASES, threshold: float = 0.9,
 ) -> str:
-    """The report as DuckDB SQL: every block against every template."""
+    """The report as DuckDB SQL: every line against every template, without windows over line breaks."""
     def listed(words: Sequence[str]) -> str:
         return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 

@@ -63,7 +63,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_report(table(spark, sf_dir, "documents"))
+    return licenses.license_report(table(spark, sf_dir, "documents"), wrapped=True)
 
 
 def held_out(doc_id: Column) -> Column:

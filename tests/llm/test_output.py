@@ -166,6 +166,29 @@ def test_license_report(spark):
     assert licenses.license_report(table(spark, [])).collect() == []
 
 
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted"
+GPL = "you can redistribute it and/or modify it under the terms of the GNU General Public License"
+
+
+def test_wrapped_licenses(spark):
+    other = "nothing of interest stands here " * 40
+    rows, want = [], []
+    for label, text in (("mit", MIT), ("bsd", BSD), ("gpl", GPL)):
+        words = text.split(" ")
+        for width in (1, 2, 5, 8, 11):
+            wrapped = "\n".join(" ".join(words[k : k + width]) for k in range(0, len(words), width))
+            for before in range(0, 60, 7):
+                rows.append((len(rows), " ".join(other.split()[:before]) + "\n" + wrapped + "\n" + other))
+                want.append((label, 1.0, 1))
+    rows += [(1000, MIT + "\n" + other), (1001, other + "\n" + other), (1002, MIT.replace(" to", "\nto") + "\n" + other + "\n" + MIT)]
+    want += [("mit", 1.0, 1), ("", 0.0, 0), ("mit", 1.0, 2)]
+    found = {r.doc_id: r for r in licenses.license_report(table(spark, rows), wrapped=True).collect()}
+    assert [(found[i].labels, found[i].score, found[i].n_blocks) for i, _ in rows] == want
+    lines = {r.doc_id: r.n_blocks for r in licenses.license_report(table(spark, rows)).collect()}
+    assert sum(lines.values()) == 2
+
+
 PAGES = "page_id long, url string, html string, file string, offset int"
 
 
