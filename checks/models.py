@@ -178,13 +178,24 @@ def students(spark, sf_dir):
         F.lit(0.0).alias("difficulty_tolerance"), (F.col("c_acctbal").cast("double") / 10000 - 0.5).alias("planning_noise"))
 
 
-def demand_pairs(spark, sf_dir):
-    """Every customer with the sections of each course ordered, in the term of the order line; reported per section."""
+def _ordered(spark, sf_dir):
+    """Order lines with their customer, course, section and term."""
     line = B.read(spark, sf_dir, "lineitem").join(B.read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    wanted = line.select(
+    part = F.col("l_partkey")
+    return line.select(
         F.col("o_custkey").alias("student_id"), B.term_of(F.col("l_shipdate")).alias("term_id"),
-        F.col("l_partkey").cast("int").alias("course_id"))
-    scores = G.score_grid(G.candidate_pairs(students(spark, sf_dir), _pool(spark, sf_dir), wanted), AREAS)
+        part.cast("int").alias("course_id"), (part * 1000 + F.col("l_suppkey")).cast("string").alias("class_nbr"), "l_linestatus")
+
+
+def _pairs(spark, sf_dir):
+    """Every customer with the sections of each course ordered, in the term of the order line."""
+    wanted = _ordered(spark, sf_dir).select("student_id", "term_id", "course_id")
+    return G.score_grid(G.candidate_pairs(students(spark, sf_dir), _pool(spark, sf_dir), wanted), AREAS)
+
+
+def demand_pairs(spark, sf_dir):
+    """The candidate pairs, reported per section."""
+    scores = _pairs(spark, sf_dir)
     return tidy(scores.groupBy("term_id", "class_nbr").agg(
         F.count("*").alias("contexts"), F.sum("level_ok").alias("level_ok"), F.sum("interest_match").alias("matches"),
         F.avg("student_course_demand").alias("demand"), F.avg("registration_competitiveness").alias("competitiveness"),
@@ -192,8 +203,13 @@ def demand_pairs(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    """The grid with an outcome column (the reference draws it at random)."""
-    return _grid(spark, sf_dir).withColumn("got_in", (F.col("got_in_probability") >= 0.5).cast("int"))
+    """The candidate pairs with an outcome from the tables (the reference draws it at random).
+
+    A customer got into a section when one of the order lines for it has status F.
+    """
+    key = ["student_id", "term_id", "class_nbr"]
+    outcome = _ordered(spark, sf_dir).groupBy(key).agg(F.max((F.col("l_linestatus") == "F").cast("int")).alias("got_in"))
+    return _pairs(spark, sf_dir).join(outcome, key, "left").withColumn("got_in", F.coalesce("got_in", F.lit(0)))
 
 
 def probability_model_predictions(spark, sf_dir):

@@ -266,3 +266,23 @@ def test_evaluation_reports(spark):
     assert report.predictions.count() == sum(r["term_numeric"] == 1262 for r in rows)
     names = {(r.side, r.metric) for r in report.metrics.collect()}
     assert ("test", "roc_auc") in names and len(names) == 20 and report.weights.count() <= 12
+
+
+def test_model_queries_take_every_customer(spark):
+    """One row per customer and section of an ordered course, with the status of the customer's own lines as outcome."""
+    from checks import bindings as B
+    from checks import models
+
+    sf_dir = "/root/testdata/sf0.001"
+    lines = B.read(spark, sf_dir, "lineitem").join(B.read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.select("o_custkey", B.term_of(F.col("l_shipdate")), "l_partkey", "l_suppkey", "l_linestatus").collect()
+    sections, status = {}, {}
+    for customer, term, part, supplier, flag in lines:
+        number = str(part * 1000 + supplier)
+        sections.setdefault((term, part), set()).add(number)
+        key = customer, term, number
+        status[key] = max(status.get(key, 0), int(flag == "F"))
+    want = {(c, t, n): status.get((c, t, n), 0) for c, t, p, *_ in lines for n in sections[t, p]}
+    rows = models._labelled(spark, sf_dir).select("student_id", "term_id", "class_nbr", "got_in").collect()
+    assert len(rows) == len(want) and {tuple(r[:3]): r.got_in for r in rows} == want
+    assert len({c for c, *_ in want}) > 25
