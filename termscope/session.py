@@ -14,7 +14,8 @@ _RUNTIME = {
     # Split a hot join key even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-_SCRATCH = "spark.checkpoint.dir"
+_SHARED = "spark.checkpoint.dir"  # set when the cluster starts; a running session cannot change it
+_OWN = "spark.termscope.scratch"
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -27,11 +28,12 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder name under the cluster's shared folder ``spark.checkpoint.dir``.
 
-    Raises where that is unset: a folder of one machine would lose rows.
+    Where that is unset ``spark.termscope.scratch`` counts, and where both are
+    it raises: a folder of one machine would lose rows.
     """
-    root = spark.conf.get(_SCRATCH, None)
+    root = spark.conf.get(_SHARED, None) or spark.conf.get(_OWN, None)
     if not root:
-        raise ValueError(f"set {_SCRATCH} to a folder that the driver and all executors share, or pass a path")
+        raise ValueError(f"set {_SHARED} to a folder that the driver and all executors share, or pass a path")
     return f"{root.rstrip('/')}/termscope-{uuid.uuid4().hex}"
 
 
@@ -40,8 +42,9 @@ def local_scratch(spark: SparkSession) -> SparkSession:
 
     On a cluster nothing is set, so that ``scratch_dir`` raises.
     """
-    if not spark.conf.get(_SCRATCH, None) and spark.sparkContext.master.split("[")[0] == "local":
-        spark.conf.set(_SCRATCH, tempfile.mkdtemp(prefix="termscope-"))
+    unset = not spark.conf.get(_SHARED, None) and not spark.conf.get(_OWN, None)
+    if unset and spark.sparkContext.master.split("[")[0] == "local":
+        spark.conf.set(_OWN, tempfile.mkdtemp(prefix="termscope-"))
     return spark
 
 
