@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscope.llm import decontaminate, exact, licenses, lm, mixing, near, spans, tokens, toxicity, warc
+from termscope.llm import decontaminate, exact, licenses, lm, mixing, near, spans, tokens, toxicity, urls, warc
 from termscope.llm.session import prepared
 from termscope.session import scratch_dir
 
@@ -169,6 +169,35 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_sort(F.transform("leaks", lambda x: x.item_id)).alias("item_ids"))
 
 
+#: host, path, verdict
+URL_RULES = "('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), " \
+    "('com', '/fr/', 'allow'), ('com', '/de/', 'block')"
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {URL_RULES} AS rules(host, path, verdict)")
+    return urls.verdicts(table(spark, sf_dir, "pages"), rules, default="allow")
+
+
+OP12_SQL = rf"""
+WITH rules(host, path, verdict) AS (VALUES {URL_RULES}), parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), cut AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+  FROM parts
+), fitting AS (
+  SELECT *, (SELECT list({{'l': length(r.host || r.path), 'h': length(r.host), 'rule': r.host || r.path, 'verdict': r.verdict}}
+                         ORDER BY length(r.host || r.path) DESC, length(r.host) DESC)
+             FROM rules AS r
+             WHERE (c.host = r.host OR ends_with(c.host, '.' || r.host)) AND starts_with(c.path, r.path)) AS rs
+  FROM cut AS c
+)
+SELECT page_id, host, path, rs[1].rule AS rule, coalesce(rs[1].verdict, 'allow') AS verdict,
+       CAST(coalesce(len(rs), 0) AS BIGINT) AS n_rules
+FROM fitting
+"""
+
 _QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_output": op2_token_output,
@@ -180,6 +209,7 @@ _QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
+    "op12_url_filters": op12_url_filters,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -188,6 +218,7 @@ ORACLES = {
     "op6_mixing": OP6_SQL,
     "op8_exact_dedup": OP8_SQL,
     "op9_warc": OP9_SQL,
+    "op12_url_filters": OP12_SQL,
 }
 
 
