@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscope.llm import decontaminate, exact, licenses, lm, mixing, near, spans, tokens, toxicity, urls, warc
+from termscope.llm import align, decontaminate, exact, licenses, lm, mixing, near, spans, tokens, toxicity, urls, warc
 from termscope.llm.session import prepared
 from termscope.session import scratch_dir
 
@@ -198,6 +198,12 @@ SELECT page_id, host, path, rs[1].rule AS rule, coalesce(rs[1].verdict, 'allow')
 FROM fitting
 """
 
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.scores(align.build(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_output": op2_token_output,
@@ -210,6 +216,7 @@ _QUERIES: dict[str, Query] = {
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
     "op12_url_filters": op12_url_filters,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
