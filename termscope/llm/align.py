@@ -48,6 +48,7 @@ _BITS = 20  # of a token id in a packed key
 _RUN = re.compile(r" +[^ ]+(?: +\Z)?| +")  # blanks at the end belong to the last run
 _KEPT_RUNS, _KEPT_CHARS = 1 << 18, 8 << 20
 _SLICE = 1 << 19
+_JOINED = 128  # runs encoded as one text
 _PIECE = 1 << 20
 _WIDE = 1 << 16  # links of one group from which they are counted by distinct ids
 _PAIRED = 1 << 21  # links expanded at a time
@@ -83,6 +84,9 @@ class Aligner:
             raise ValueError(f"vocabularies of more than {1 << _BITS} tokens do not fit a packed pair")
         self.by_runs = not any(re.search("[^▁]▁", p) for p in pieces)
         self.size_a, self.size_b = (np.array([len(x) for x in s], np.int64) for s in (self.bytes_a, self.bytes_b))
+        # How ids are written in groups: inside and at the end of A's part, inside and at the end of B's.
+        self.names = [b"%d%s" % (k, mark) for size, marks in ((len(self.bytes_a), (b",", b"|")), (len(self.bytes_b), (b",", b";")))
+                      for mark in marks for k in range(size)]
         self.forget()
 
     def forget(self) -> None:
@@ -100,29 +104,61 @@ class Aligner:
         data = text.encode()
         return b"".join(map(self.bytes_a.__getitem__, a)) == data and b"".join(map(self.bytes_b.__getitem__, b)) == data
 
-    def aligned(self, ids_a: list[list[int]], ids_b: list[list[int]]):
-        """Groups as bytes per text; their four numbers; pairs, links and where each text's pairs begin.
+    def side_by_side(self, runs: list[str]):
+        """Runs that both tokenizers give back, their tokens of A and of B in a row, and how many each run has.
 
-        The texts' tokens are laid one after another: both end where a text ends.
+        Runs are encoded many to a text, which costs less; one that ends in a blank would run into the next.
+        """
+        joined = [r for r in runs if r[-1] != " "]
+        groups = [joined[k : k + _JOINED] for k in range(0, len(joined), _JOINED)] + [[r] for r in runs if r[-1] == " "]
+        good, parts = [], []
+        while groups:
+            texts = ["".join(g) for g in groups]
+            again = []
+            for group, text, *ids in zip(groups, texts, *self.encoded(texts), strict=True):
+                if self.covers(text, *ids):
+                    ends = np.cumsum([len(r.encode()) for r in group])
+                    ids = [np.array(x, np.int64) for x in ids]
+                    places = [np.cumsum(size[x]) for size, x in zip((self.size_a, self.size_b), ids, strict=True)]
+                    cuts = [np.minimum(np.searchsorted(p, ends), len(p) - 1) for p in places]
+                    if all((p[c] == ends).all() for p, c in zip(places, cuts, strict=True)):
+                        good += group
+                        parts.append((*ids, *(np.diff(c, prepend=-1) for c in cuts)))
+                        continue
+                if len(group) > 1:
+                    again += [[r] for r in group]
+            groups = again
+        return good, *(map(np.concatenate, zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 4)
+
+    def aligned(self, a: np.ndarray, b: np.ndarray, count_a: np.ndarray, count_b: np.ndarray):
+        """Groups as bytes per text, each with its mark; their four numbers; pairs, links and where each text's pairs begin.
+
+        The texts' tokens stand one after another, so both end where a text ends.
         """
-        a, b = (np.array([i for ids in x for i in ids], np.int64) for x in (ids_a, ids_b))
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
         cut_a, cut_b = (np.r_[0, np.searchsorted(e, ends) + 1] for e in (ends_a, ends_b))
         n_a, n_b = np.diff(cut_a), np.diff(cut_b)
-        until = np.searchsorted(cut_a, np.cumsum([len(x) for x in ids_a]))  # groups up to each text's end
+        until = np.searchsorted(cut_a, np.cumsum(count_a))  # groups up to each text's end
         since = np.r_[0, until[:-1]]
-        text_of = np.repeat(np.arange(len(ids_a)), until - since)
-        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        ca, cb = cut_a.tolist(), cut_b.tolist()
-        names = [",".join(names_a[ca[k] : ca[k + 1]]) + "|" + ",".join(names_b[cb[k] : cb[k + 1]]) for k in range(len(n_a))]
-        groups = [";".join(names[x:y]).encode() for x, y in zip(since.tolist(), until.tolist(), strict=True)]
-        links = np.zeros(len(ids_a), np.int64)
+        text_of = np.repeat(np.arange(len(count_a)), until - since)
+        links = np.zeros(len(count_a), np.int64)
         np.add.at(links, text_of, n_a * n_b)
-        numbers = np.stack([[len(x) for x in ids_a], [len(x) for x in ids_b], until - since, links], axis=1).astype(np.int64)
+        numbers = np.stack([count_a, count_b, until - since, links], axis=1).astype(np.int64)
         keys, counts = self._linked(a, b, cut_a, cut_b, n_a * n_b, text_of)
-        text, pair = keys[0], keys[1]
-        return groups, numbers, pair, counts, np.searchsorted(text, np.arange(len(ids_a) + 1))
+        return self._written(a, b, cut_a, cut_b, count_a + count_b), numbers, keys[1], counts, np.searchsorted(keys[0], np.arange(len(count_a) + 1))
+
+    def _written(self, a, b, cut_a, cut_b, sizes) -> list[bytes]:
+        """Every text's groups, ``a1,a2|b1;`` one after another."""
+        name_a, name_b = a.copy(), b + 2 * len(self.bytes_a)
+        name_a[cut_a[1:] - 1] += len(self.bytes_a)
+        name_b[cut_b[1:] - 1] += len(self.bytes_b)
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.repeat(cut_b[:-1], np.diff(cut_a))] = name_a
+        order[np.arange(len(b)) + np.repeat(cut_a[1:], np.diff(cut_b))] = name_b
+        written = list(map(self.names.__getitem__, order.tolist()))
+        ends = np.cumsum(sizes).tolist()
+        return [b"".join(written[x:y]) for x, y in zip([0, *ends], ends, strict=False)]
 
     @staticmethod
     def _linked(a, b, cut_a, cut_b, sizes, text_of):
@@ -136,7 +172,7 @@ class Aligner:
             inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             left = a[np.repeat(cut_a[some], n) + inner // np.repeat(m, n)]
             right = b[np.repeat(cut_b[some], n) + inner % np.repeat(m, n)]
-            found.append(_counted(np.repeat(text_of[some], n), left << _BITS | right, np.ones(len(left), np.int64)))
+            found.append(_counted(np.repeat(text_of[some], n), left << _BITS | right, None))
         for k in np.flatnonzero(sizes >= _WIDE):  # repeated ids of a long group meet by their numbers
             left, n = np.unique(a[cut_a[k] : cut_a[k + 1]], return_counts=True)
             right, m = np.unique(b[cut_b[k] : cut_b[k + 1]], return_counts=True)
@@ -149,14 +185,12 @@ class Aligner:
 
     def learn(self, runs: list[str]) -> None:
         """Align runs not known yet; a run that does not give its bytes back is known as -1."""
-        ids = [(r, a, b) for r, a, b in zip(runs, *self.encoded(runs), strict=True)]
-        good = [(r, a, b) for r, a, b in ids if self.covers(r, a, b)]
+        good, *ids = self.side_by_side(runs)
         self.known.update(dict.fromkeys(runs, -1))
         self.chars += sum(map(len, runs))
         if good:
-            runs, ids_a, ids_b = zip(*good, strict=True)
-            groups, numbers, pair, links, at = self.aligned(ids_a, ids_b)
-            self.known.update(zip(runs, range(len(self.groups), len(self.groups) + len(runs)), strict=True))
+            groups, numbers, pair, links, at = self.aligned(*ids)
+            self.known.update(zip(good, range(len(self.groups), len(self.groups) + len(good)), strict=True))
             self.groups += groups
             self.numbers = np.concatenate([self.numbers, numbers])
             self.at = np.concatenate([self.at, at[1:] + len(self.pairs)])
@@ -180,7 +214,8 @@ class Aligner:
                 continue
             digest = hashlib.sha256()
             for n, p in enumerate(places):
-                digest.update((b";" if n else b"") + b";".join(map(self.groups.__getitem__, p.tolist())))
+                written = b"".join(map(self.groups.__getitem__, p.tolist()))
+                digest.update(written if n < len(places) - 1 else written[:-1])
                 numbers[k] += self.numbers[p].sum(axis=0)
             hashes[k] = digest.hexdigest()
             used += [(np.full(len(p), k), p) for p in places]
@@ -197,8 +232,9 @@ class Aligner:
         ids_a, ids_b = self.encoded([text])
         if not self.covers(text, ids_a[0], ids_b[0]):
             return None
-        groups, own, pair, links, _ = self.aligned(ids_a, ids_b)
-        numbers[k], hashes[k] = own[0], hashlib.sha256(groups[0]).hexdigest()
+        a, b = (np.array(x[0], np.int64) for x in (ids_a, ids_b))
+        groups, own, pair, links, _ = self.aligned(a, b, np.array([len(a)]), np.array([len(b)]))
+        numbers[k], hashes[k] = own[0], hashlib.sha256(groups[0][:-1]).hexdigest()
         return np.full(len(pair), k), pair, links
 
 
@@ -215,12 +251,19 @@ def _pieces(text: str) -> Iterator[str]:
 
 
 def _counted(first: np.ndarray, second: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, ...]:
-    """Distinct (first, second) in order, with the sums of ``n`` (1 each, if none)."""
-    order = np.lexsort((second, first))
-    first, second = first[order], second[order]
-    new = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])]) if len(first) else order
-    total = np.diff(np.r_[new, len(first)]) if n is None else np.add.reduceat(n[order], new) if len(new) else n
-    return first[new], second[new], total
+    """Distinct (first, second) in order, with the sums of ``n`` (1 each, if none); the two fit 63 bits."""
+    if not len(first):
+        return first, second, np.zeros(0, np.int64)
+    bits = int(second.max()).bit_length()
+    key = first << bits | second
+    if n is None:
+        key, total = np.unique(key, return_counts=True)
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        key, total = key[new], np.add.reduceat(n[order], new)
+    return key >> bits, key & (1 << bits) - 1, total
 
 
 def packed_places(places: np.ndarray, starts: np.ndarray, width: int) -> pa.Array:
