@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscope.llm import align, decontaminate, exact, licenses, lm, mixing, near, spans, tokens, toxicity, urls, warc
+from termscope.llm import align, decontaminate, exact, licenses, lm, mixing, near, search, spans, tokens, toxicity, urls, warc
 from termscope.llm.session import prepared
 from termscope.session import scratch_dir
 
@@ -169,6 +169,40 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_sort(F.transform("leaks", lambda x: x.item_id)).alias("item_ids"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = search.build(table(spark, sf_dir, "documents"), depth=50)
+    return search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS k
+  FROM documents
+), sizes AS (
+  SELECT k, doc_id, len(w)::BIGINT AS n FROM words WHERE len(w) > 0
+), corpus AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes
+), each AS (
+  SELECT k, unnest(w) AS term FROM words
+), tf AS (
+  SELECT k, term, count(*)::BIGINT AS tf FROM each GROUP BY k, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2.0 * any_value(n_docs) + 2)::DOUBLE / (2.0 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, corpus GROUP BY term
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, k, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN sizes USING (k), corpus GROUP BY item_id, k, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 #: host, path, verdict
 URL_RULES = "('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), " \
     "('com', '/fr/', 'allow'), ('com', '/de/', 'block')"
@@ -215,6 +249,7 @@ _QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
+    "op11_ranked_search": op11_ranked_search,
     "op12_url_filters": op12_url_filters,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
     "pipeline": corpus_pipeline.run,
@@ -225,6 +260,7 @@ ORACLES = {
     "op6_mixing": OP6_SQL,
     "op8_exact_dedup": OP8_SQL,
     "op9_warc": OP9_SQL,
+    "op11_ranked_search": OP11_SQL,
     "op12_url_filters": OP12_SQL,
 }
 
