@@ -1,9 +1,10 @@
-"""Documents in blocks of about equal size, dealt by a hash of the id.
+"""Documents in blocks of about equal size, dealt by a hash of the id and the text.
 
 A block is what one task holds: it asks for its own slice of a corpus-wide
 table (rows of one block and key), and meets the answer in a cogroup.  The
 number of blocks follows the number of characters, so a block's size does not
-depend on the corpus, and a hot key has at most one row per block.
+depend on the corpus, a hot key has at most one row per block, and an id that many rows
+have spreads over the blocks.  Copies in id and text stay together.
 """
 
 from __future__ import annotations
@@ -23,15 +24,11 @@ def block_count(docs: DataFrame, text_col: str, block_chars: int = BLOCK_CHARS)
     return max(1, math.ceil(chars / block_chars))
 
 
-def block_of(id_: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(id_), F.lit(blocks)).cast("int")
-
-
-def in_blocks(docs: DataFrame, blocks: int, id_col: str, text_col: str) -> DataFrame:
-    """(block, id, text) of all rows; a null text is empty, rows without id are dealt by their text."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    id_ = F.col(id_col).cast("long")
-    return docs.select(block_of(F.coalesce(id_, F.xxhash64(text)), blocks).alias("block"), id_.alias("id"), text.alias("text"))
+def in_blocks(docs: DataFrame, blocks: int, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(block, id, text, more) of all rows; a null text is empty."""
+    text, id_ = F.coalesce(F.col(text_col), F.lit("")), F.col(id_col).cast("long")
+    block = F.pmod(F.xxhash64(id_, text), F.lit(blocks)).cast("int").alias("block")
+    return docs.select(block, id_.alias("id"), text.alias("text"), *more)
 
 
 def texts(table: pa.Table) -> Iterator[str]:

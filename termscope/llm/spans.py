@@ -1,13 +1,10 @@
 """Substring dedup: runs of consecutive sentences that occur before, in any document, are removed.
 
-A run has at least ``min_sentences`` sentences and ``min_words`` words; a
-sentence of ``long_words`` words or more is a run by itself.  From every
-sentence on the shortest run is hashed (96 bits over its words), with
-``both_ends`` also the shortest run up to every sentence.  With both, these
-stand for all runs that repeat in the same sentences: with a run its parts occur
-before, too, and each of its sentences is in the shortest run from there on or,
-if that ends behind the run, in the shortest run up to the run's last sentence.
-Without ``both_ends``, last sentences too short for a run of their own stay.
+A run has at least ``min_sentences`` sentences and ``min_words`` words.  The shortest
+runs from every sentence on and up to every sentence are hashed (96 bits over their
+words).  They stand for all runs that repeat in the same sentences: with a run its
+parts occur before, too, and each of its sentences is in the shortest run from there
+on or, if that ends behind the run, in the shortest run up to the run's last sentence.
 Equal words in other sentences are found where the hashed runs agree.  The first
 occurrence of a run is the one in the document with the least id, and in it the
 earliest.  A sentence is removed when any run over it is not a first occurrence.
@@ -44,8 +41,6 @@ _LAST = (1 << 63) - 1  # order of rows without id
 class Settings:
     min_sentences: int = 2
     min_words: int = 25
-    long_words: int = 40
-    both_ends: bool = False
 
 
 def sentences(text: str) -> list[str]:
@@ -89,10 +84,8 @@ def runs(text: str, settings: Settings = Settings()) -> Runs:
     starts = ends - count
     k = np.arange(len(at))
     last = np.maximum(np.searchsorted(ends, starts + settings.min_words), k + settings.min_sentences - 1)
-    last = np.where(count >= settings.long_words, k, last)
     begin = np.minimum(np.searchsorted(starts, ends - settings.min_words, "right") - 1, k - settings.min_sentences + 1)
-    begin = np.where(count >= settings.long_words, k, begin)
-    on, up = last < len(at), (begin >= 0) & settings.both_ends
+    on, up = last < len(at), begin >= 0
     both = np.unique(np.concatenate([k[on] * len(at) + last[on], begin[up] * len(at) + k[up]]))  # by first, then last sentence
     k, last = np.divmod(both, max(len(at), 1))
     words = hashes([w for ws in worded for w in ws])

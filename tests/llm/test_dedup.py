@@ -162,31 +162,24 @@ def test_banding_reaches_its_recall():
 
 
 def brute_clean(rows, settings):
-    """Removed sentences by comparing the words of all runs."""
+    """Removed sentences by comparing all runs of every length."""
     first, docs = {}, []
     for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         pieces = spans.sentences(t or "")
-        worded = [spans.WORD.findall(p.lower()) for p in pieces]
+        worded = [tuple(spans.WORD.findall(p.lower())) for p in pieces]
         at = [k for k, w in enumerate(worded) if w]
         found = []
         for a in range(len(at)):
-            n = 0
-            for b in range(a, len(at)):
-                n += len(worded[at[b]])
-                alone = b == a and n >= settings.long_words
-                if alone or (n >= settings.min_words and b - a + 1 >= settings.min_sentences):
-                    found.append((at[a], at[b] + 1, tuple(w for k in at[a : b + 1] for w in worded[k])))
-                    break
+            for b in range(a + settings.min_sentences - 1, len(at)):
+                words = tuple(w for k in at[a : b + 1] for w in worded[k])
+                if len(words) >= settings.min_words:
+                    found.append((at[a], at[b] + 1, words))
         docs.append((i, pieces, worded, found))
-        for _, _, w in found:
-            first.setdefault(w, i)
+        for a, _, w in found:
+            first.setdefault(w, (i, a))
     out = {}
     for i, pieces, worded, found in docs:
-        gone, seen = set(), set()
-        for a, b, w in found:
-            if first[w] != i or w in seen:
-                gone |= {k for k in range(a, b) if worded[k]}
-            seen.add(w)
+        gone = {k for a, b, w in found if first[w] != (i, a) for k in range(a, b) if worded[k]}
         out[i] = "".join(p for k, p in enumerate(pieces) if k not in gone), sorted(gone)
     return out
 
@@ -217,21 +210,6 @@ def test_spans_of_edges(spark):
     assert spans.without_repeats(table(spark, [])).collect() == []
 
 
-def all_runs_clean(rows, settings):
-    """Removed sentences by comparing all runs of every length."""
-    first, docs = {}, []
-    for i, t in sorted(rows):
-        worded = [tuple(spans.WORD.findall(p.lower())) for p in spans.sentences(t)]
-        ends = [(a, b) for a in range(len(worded)) for b in range(a + 1, len(worded) + 1)]
-        found = [
-            (a, b, tuple(worded[a:b])) for a, b in ends
-            if (n := sum(map(len, worded[a:b]))) >= (settings.long_words if b - a < settings.min_sentences else settings.min_words)]
-        docs.append((i, found))
-        for a, _, w in found:
-            first.setdefault(w, (i, a))
-    return {i: sorted({k for a, b, w in found if first[w] != (i, a) for k in range(a, b)}) for i, found in docs}
-
-
 def test_spans_keep_no_tail(spark):
     draw = random.Random(4)
     fresh = iter(range(10**6))
@@ -240,8 +218,8 @@ def test_spans_keep_no_tail(spark):
     passages += [[sentence(draw.choice((1, 3, 9, 22, 39, 41))) for _ in range(draw.randrange(2, 9))] for _ in range(30)]
     rows = [(len(passages) * c + k, " ".join([sentence(30), *p, sentence(30)])) for c in range(2) for k, p in enumerate(passages)]
     rows += [(1000 + k, " ".join([*p, sentence(5), *p[1:], *p])) for k, p in enumerate(passages)]
-    settings = spans.Settings(both_ends=True)
-    want = all_runs_clean(rows, settings)
+    settings = spans.Settings()
+    want = {i: gone for i, (_, gone) in brute_clean(rows, settings).items()}
     got = {r.doc_id: r.removed for r in spans.without_repeats(table(spark, rows), settings).collect()}
     assert got == want
     second = len(passages)
