@@ -1,8 +1,8 @@
 """License scan: an exact set-similarity join of text blocks with license templates, in DataFrame functions only.
 
-A block is a line.  With ``wrapped``, windows of words that run over line breaks
-are blocks as well: twice the longest template, from every half window on, so
-that a passage as long as a template lies in one of them wherever its lines end.
+Blocks are lines, and windows of words that run over line breaks: twice the longest
+template, from every half window on, so that a passage as long as a template
+lies in one of them wherever its lines end.
 A block matches a template when it holds at least ``threshold`` of the
 template's distinct words.  The join never compares every block with every
 template:
@@ -18,7 +18,7 @@ template:
 
 All filters are exact, so every block over the threshold is found.  The
 templates are a parameter; only they, their index and their words' counts are
-held by the driver or broadcast.
+held by the driver.
 
 Beside the labels of the matched templates the scan gives the places of fixed
 base phrases, counted in words from 0 (overlapping places count).
@@ -83,6 +83,11 @@ def _places(phrase: str) -> Column:
     return F.when(F.contains(F.col("joined"), F.lit(f" {phrase} ")), starts).otherwise(F.array().cast("array<int>"))
 
 
+def half_window(templates: Sequence[tuple[str, str]]) -> int:
+    """Words of the longest template."""
+    return max((len(words.split(" ")) for _, words in templates), default=1)
+
+
 def _windows(step: int, vocabulary: Column) -> Column:
     """Windows of the array ``words`` that hold words of several ``lines``, numbered -1, -2, ... in order."""
     words, line_of = F.col("words"), F.col("line_of")
@@ -115,7 +120,7 @@ def _once(matches: DataFrame) -> DataFrame:
 
 def scan(
     docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, phrases: Mapping[str, str] = PHRASES,
-    threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text", wrapped: bool = False,
+    threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, matches).
 
@@ -133,9 +138,7 @@ def scan(
         i.alias("block"), i.alias("from"), i.alias("to"), F.array_intersect(x, vocabulary).alias("words")))
     line_of = F.flatten(F.transform("lines", lambda x, i: F.array_repeat(i, F.size(x))))
     rows = rows.select("uid", "id", F.flatten("lines").alias("words"), known.alias("known"), line_of.alias("line_of"))
-    if wrapped:
-        step = max((len(words.split(" ")) for _, words in templates), default=1)
-        rows = rows.withColumn("known", F.concat("known", _windows(step, vocabulary)))
+    rows = rows.withColumn("known", F.concat("known", _windows(half_window(templates), vocabulary)))
     rows = rows.withColumn("joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
     found = F.filter("known", lambda b: F.size(b.words) >= min(needs, default=1))
     places = {label: _places(phrase) for phrase, label in phrases.items()}
@@ -162,25 +165,25 @@ def scan(
     prefix = F.slice("ranks", F.lit(1), F.size("ranks") - min(needs, default=1) + 1)
     seeds = ranked.select("uid", "block", "from", "to", "ranks", F.posexplode(prefix).alias("j", "rank"))
     rest = F.least(F.size("ranks") - F.col("j"), F.size("t_ranks") - F.col("i"))
-    pairs = seeds.join(F.broadcast(index), "rank").where((F.size("ranks") >= F.col("need")) & (rest >= F.col("need")))
+    pairs = seeds.join(index, "rank").where((F.size("ranks") >= F.col("need")) & (rest >= F.col("need")))
     common = F.size(F.array_intersect("ranks", "t_ranks"))
     matches = (
         pairs.withColumn("common", common).where(F.col("common") >= F.col("need"))
         .withColumn("containment", F.col("common") / F.size("t_ranks"))
         .select("uid", "block", "from", "to", "label", "template", "common", "containment").distinct()
     )
-    return documents, (_once(matches) if wrapped else matches).select("uid", "block", "label", "template", "common", "containment")
+    return documents, _once(matches).select("uid", "block", "label", "template", "common", "containment")
 
 
 def license_report(
     docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, phrases: Mapping[str, str] = PHRASES,
-    threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text", wrapped: bool = False,
+    threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per document: word and place counts, base labels, all labels, matched blocks and a score.
 
     The score is 1 where a base phrase stands, else the best containment of a matched block, else 0.
     """
-    documents, matches = scan(docs, templates, phrases, threshold, id_col, text_col, wrapped)
+    documents, matches = scan(docs, templates, phrases, threshold, id_col, text_col)
     best = matches.groupBy("uid").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best"),
         F.countDistinct("block").alias("n_blocks"))
@@ -197,14 +200,15 @@ def license_report(
 def report_sql(
     templates: Sequence[tuple[str, str]] = TEMPLATES, phrases: Mapping[str, str] = PHRASES, threshold: float = 0.9,
 ) -> str:
-    """The report as DuckDB SQL: every line against every template, without windows over line breaks."""
+    """The report as DuckDB SQL: every line and window against every template."""
     def listed(words: Sequence[str]) -> str:
         return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
     rows = []
-    for label, words in templates:
+    for number, (label, words) in enumerate(templates):
         distinct = list(dict.fromkeys(words.split(" ")))
-        rows.append(f"('{label}', {listed(distinct)}, {len(distinct)}, {required(len(distinct), threshold)})")
+        rows.append(f"({number}, '{label}', {listed(distinct)}, {len(distinct)}, {required(len(distinct), threshold)})")
+    step = half_window(templates)
     starts = []
     for phrase, label in phrases.items():
         parts = phrase.split(" ")
@@ -212,23 +216,46 @@ def report_sql(
         starts.append(f"list_transform(list_filter(range(len(words)), lambda i: {test}), lambda i: {{'p': i, 'label': '{label}'}})")
     places = f"list_concat({starts[0]}, list_concat({starts[1]}, {starts[2]}))"
     return rf"""
-    WITH templates(label, t, n, need) AS (VALUES {", ".join(rows)}),
+    WITH templates(template, label, t, n, need) AS (VALUES {", ".join(rows)}),
     lowered AS (
       SELECT row_number() OVER () AS uid, doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents
+    ), lined AS (
+      SELECT uid, doc_id, list_transform(string_split(text, chr(10)), lambda x: regexp_extract_all(x, '{WORD}')) AS lines FROM lowered
     ), worded AS (
-      SELECT uid, doc_id, regexp_extract_all(text, '{WORD}') AS words FROM lowered
+      SELECT uid, doc_id, lines, flatten(lines) AS words,
+             flatten(list_transform(lines, lambda x, i: list_transform(x, lambda w: i - 1))) AS line_of
+      FROM lined
     ), based AS (
       SELECT uid, doc_id, len(words) AS n_words, {places} AS places FROM worded
+    ), stepped AS (
+      SELECT uid, words, line_of, len(words) AS n,
+             unnest(range(greatest(CAST(ceil(len(words) / {step}) AS BIGINT) - 2, 0) + 1)) AS k
+      FROM worded
     ), blocks AS (
-      SELECT uid, list_distinct(regexp_extract_all(b, '{WORD}')) AS words, block
-      FROM (SELECT uid, unnest(string_split(text, chr(10))) AS b, generate_subscripts(string_split(text, chr(10)), 1) AS block
-            FROM lowered)
+      SELECT uid, block, block AS since, block AS until, words
+      FROM (SELECT uid, unnest(lines) AS words, generate_subscripts(lines, 1) - 1 AS block FROM worded)
+      UNION ALL
+      SELECT uid, -1 - k, line_of[k * {step} + 1] AS since, line_of[least((k + 2) * {step}, n)] AS until,
+             words[k * {step} + 1 : (k + 2) * {step}]
+      FROM stepped WHERE since < until
     ), matched AS (
-      SELECT uid, block, label, len(list_intersect(words, t)) AS common, n
-      FROM blocks, templates WHERE len(list_intersect(words, t)) >= need
+      SELECT * FROM (
+        SELECT uid, block, since, until, template, label, len(list_intersect(list_distinct(words), t)) AS common, n, need
+        FROM blocks, templates)
+      WHERE common >= need
+    ), kept AS (
+      SELECT *, block + row_number() OVER (PARTITION BY uid, template, block < 0 ORDER BY block DESC) AS run
+      FROM matched AS m
+      WHERE block >= 0 OR NOT EXISTS (
+        SELECT 1 FROM matched AS l
+        WHERE l.uid = m.uid AND l.template = m.template AND l.block >= 0 AND l.block BETWEEN m.since AND m.until)
+    ), counted AS (
+      SELECT uid, label, common, n,
+             CASE WHEN block < 0 THEN max(block) OVER (PARTITION BY uid, template, block < 0, run) ELSE block END AS block
+      FROM kept
     ), best AS (
       SELECT uid, list(DISTINCT label) AS more, max(CAST(common AS DOUBLE) / n) AS best, count(DISTINCT block) AS n_blocks
-      FROM matched GROUP BY uid
+      FROM counted GROUP BY uid
     )
     SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
            CAST(list_min(list_transform(places, lambda x: x.p)) AS BIGINT) AS first_word,
