@@ -2,11 +2,16 @@
 
 A word is the bag of its character n-grams and itself, hashed into a table of
 embeddings.  A window of a few words is the mean of its bags, and a linear
-softmax over two classes reads that mean.  A document is toxic if any of its
-windows is: P = 1 - prod(1 - p_window), so one short passage in a long clean
-text still counts, and training learns embeddings and softmax from document
-labels alone.  Scoring takes the product over the ``strongest`` windows of the whole
-text, so that a very long clean text does not add up to a toxic one.  A misspelt word shares most n-grams with the word it hides.
+softmax over two classes reads that mean.  Training takes a document as toxic if
+any of its windows is, P = 1 - prod(1 - p_window), so that embeddings and softmax
+are learned from document labels alone, and a misspelt word shares most
+n-grams with the word it hides.
+
+A score reads all windows of the whole text: E = sum of -log(1 - p_window) is the
+evidence.  ``level`` is what a window of nine in ten clean training texts has on
+average at most; the score is logistic in the log of the excess max(E - n level, 0)
+and the log of the number of windows n, with coefficients fitted on the training
+sample.  So every window counts, and a long clean text does not add up.
 
 Training runs in numpy on a bounded sample of the labelled rows
 (``Settings.sample_rows``, the rows with the smallest seeded hashes of each
@@ -34,6 +39,7 @@ from termscope.llm.columns import fresh
 
 _WORD = re.compile(r"\w+")
 _CACHE_WORDS = 1 << 18
+_LEAST = 3e-3  # added to the excess before its logarithm
 
 
 @dataclass(frozen=True)
@@ -46,7 +52,6 @@ class Settings:
     buckets: int = 1 << 18
     dim: int = 8
     window: int = 6
-    strongest: int = 3
     epochs: int = 6
     steps: int = 500  # at least; a small sample is read more often
     rate: float = 0.1
@@ -62,11 +67,13 @@ class Model:
     settings: Settings
     weight: np.ndarray
     bias: float
+    level: float = 0.0
+    shape: np.ndarray = field(default_factory=lambda: np.array([0.0, 0.0, -30.0]))  # of log excess, log windows, constant
     known: dict[str, int] = field(default_factory=dict)  # words seen by this worker
     sums: list[np.ndarray] = field(default_factory=list)  # their weights' sum and number, by chunks of words
 
     def __getstate__(self) -> dict:
-        return {"settings": self.settings, "weight": self.weight, "bias": self.bias, "known": {}, "sums": []}
+        return self.__dict__ | {"known": {}, "sums": []}
 
     def forget(self) -> None:
         self.known.clear()
@@ -87,17 +94,35 @@ class Model:
         places = np.fromiter((known[w] for words in texts for w in words), np.int64, sum(map(len, texts)))
         return places, np.concatenate(self.sums) if self.sums else np.zeros((0, 2))
 
-    def scores(self, texts: list[str]) -> np.ndarray:
+    def evidence(self, texts: list[str]) -> np.ndarray:
+        """Per text: evidence of all windows, and their number."""
         worded = [_WORD.findall(t.lower()) for t in texts]
         places, sums = self._places(worded)
         first, last, of = windows([len(w) for w in worded], self.settings.window)
         total = np.concatenate([np.zeros((1, 2)), np.cumsum(sums[places], axis=0)])
         part = total[last] - total[first]
         logit = part[:, 0] / np.maximum(part[:, 1], 1) + self.bias
-        clean = np.logaddexp(0, logit)  # -log(1 - p_window)
-        rank = np.lexsort((-clean, of))
-        strong = rank[np.arange(len(rank)) - np.searchsorted(of, of) < self.settings.strongest]
-        return -np.expm1(-np.bincount(of[strong], clean[strong], len(texts)))
+        clean = np.bincount(of, np.logaddexp(0, logit), len(texts))  # -log(1 - p_window), added up
+        return np.stack([clean, np.bincount(of, minlength=len(texts))], axis=1)
+
+    def read(self, evidence: np.ndarray) -> np.ndarray:
+        """Per text: log of the excess, log of the number of windows, 1."""
+        total, n = evidence.T
+        return np.stack([np.log(np.maximum(total - n * self.level, 0) + _LEAST), np.log(n), np.ones(len(n))], axis=1)
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.read(self.evidence(texts)) @ self.shape, -60, 60)))
+
+
+def fit_shape(read: np.ndarray, labels: np.ndarray, ridge: float = 1e-2, steps: int = 80) -> np.ndarray:
+    """Logistic regression by Newton's steps, with a small penalty on all but the constant."""
+    shape, penalty = np.zeros(read.shape[1]), np.array([ridge, ridge, 0.0])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(read @ shape, -30, 30)))
+        slope = read.T @ (p - labels) + penalty * shape
+        curve = (read * (p * (1 - p))[:, None]).T @ read + ridge * np.eye(len(shape))
+        shape = shape - np.linalg.solve(curve, slope)
+    return shape
 
 
 def grams(words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +224,14 @@ def fit(texts: list[str], labels: list[int], settings: Settings) -> Model:
             top -= settings.rate * g_top / np.sqrt(top_sq)
             bias_sq += g_bias**2
             bias -= settings.rate * g_bias / np.sqrt(bias_sq)
-    return Model(settings, emb @ (top[:, 1] - top[:, 0]), float(bias[1] - bias[0]))
+    model = Model(settings, emb @ (top[:, 1] - top[:, 0]), float(bias[1] - bias[0]))
+    parts = [model.evidence(texts[k : k + 200]) for k in range(0, len(texts), 200)]
+    evidence = np.concatenate(parts)
+    clean = evidence[truth == 0]
+    model.level = float(np.quantile(clean[:, 0] / clean[:, 1], 0.9))
+    model.shape = fit_shape(model.read(evidence), truth)
+    model.forget()
+    return model
 
 
 def train(

@@ -77,6 +77,39 @@ def test_scores_do_not_depend_on_the_batch():
     assert np.allclose(together, [model.scores([t])[0] for t in texts])
 
 
+def test_scores_against_plain_loops():
+    rows, labels = labelled(80, 3)
+    texts = [t for _, t in rows]
+    model = toxicity.fit(texts, [t for _, t in labels], toxicity.Settings(epochs=2, steps=20))
+    texts = [*texts[:20], "", "one", "a b c d e f g", "ünï çødé 日本 " * 40]
+    want = []
+    for text in texts:
+        words = toxicity._WORD.findall(text.lower())
+        held = [[model.weight[b] for b in toxicity.grams([w], model.settings)[0]] for w in words]
+        size, step = model.settings.window, model.settings.window // 2
+        starts = [0]
+        while starts[-1] + size < len(words):
+            starts.append(starts[-1] + step)
+        evidence = 0.0
+        for a in starts:
+            some = [x for w in held[a : a + size] for x in w]
+            evidence += math.log1p(math.exp(sum(some) / max(len(some), 1) + model.bias))
+        z = model.shape @ [math.log(max(evidence - len(starts) * model.level, 0) + 3e-3), math.log(len(starts)), 1.0]
+        want.append(1 / (1 + math.exp(-z)))
+    assert np.allclose(model.scores(texts), want, rtol=1e-6)
+
+
+def test_all_windows_count():
+    """Two weak passages are more evidence than one, and clean text around one does not add up."""
+    rows, labels = labelled(900, 1)
+    model = toxicity.fit([t for _, t in rows], [t for _, t in labels], toxicity.Settings())
+    clean = [t for (_, t), (_, y) in zip(rows, labels, strict=True) if not y]
+    once, often = model.scores(clean), model.scores([" ".join([t] * 100) for t in clean])
+    assert np.mean(once < 0.3) > 0.97 and np.mean(often < 0.3) > 0.85
+    one, two = ([f"{t} gribblot {t}" + tail for t in clean] for tail in ("", " gribblot"))
+    assert np.mean(model.scores(one) > 0.5) > 0.95 and (model.scores(two) >= model.scores(one)).mean() > 0.95
+
+
 def test_windows_cover_all_words():
     lengths = [0, 1, 2, 5, 6, 7, 23]
     first, last, of = toxicity.windows(lengths, 6)
