@@ -13,8 +13,9 @@ rows is spread over ``16 ** chunk_digits`` chunks; raise the digits with the dat
 
 Defined results: a null text has size 0, a null source is a source of its own
 and stands last, rows that agree in id and text are drawn separately, an empty
-table gives no rows.  Extra columns are carried along; a name that the operator
-adds replaces an old column of that name.
+table gives no rows, long texts are counted whole.  Extra columns are carried along; a name
+that the operator adds (in any case) replaces an old column of that name, and helper columns
+take names that no column has.
 """
 
 from __future__ import annotations
@@ -76,33 +77,35 @@ def mixed(
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", chunk_digits: int = 3,
 ) -> DataFrame:
     """The documents with size, source_size, target, repeats (0 to ``max_epochs``) and taken (size x repeats)."""
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    names = [c for c in docs.columns if c not in ADDED]
+    names = [c for c in docs.columns if c.lower() not in ADDED]
+    source, size, draw, chunk, start, inner, whole, of_source, of_chunk, total, target = (
+        fresh([*docs.columns, *ADDED], n) for n in (
+            "_source", "_size", "_draw", "_chunk", "_start", "_inner", "_whole", "_of_source", "_of_chunk", "_total", "_target"))
+    seeded = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in names], F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"),
-        draw.alias("_draw")).withColumn("_chunk", F.substring("_draw", 1, chunk_digits))
-    chunks = materialize(rows.groupBy("_source", "_chunk").agg(F.sum("_size").alias("chunk_size")))
-    sizes = chunks.groupBy(F.col("_source").alias("source")).agg(F.sum("chunk_size").alias("source_size"))
+        *[F.col(f"`{c}`") for c in names], F.col(source_col).alias(source), word_count(F.col(text_col)).alias(size),
+        seeded.alias(draw)).withColumn(chunk, F.substring(draw, 1, chunk_digits))
+    chunks = materialize(rows.groupBy(source, chunk).agg(F.sum(size).alias("chunk_size")))
+    sizes = chunks.groupBy(F.col(source).alias("source")).agg(F.sum("chunk_size").alias("source_size"))
     targets = water_filled(sizes, weights, max_epochs)
 
-    earlier = Window.partitionBy("_source").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = chunks.withColumn("_start", F.coalesce(F.sum("chunk_size").over(earlier), F.lit(0)))
-    starts = starts.join(targets, F.col("_source").eqNullSafe(F.col("source"))).select(
-        F.col("_source").alias("_of_source"), F.col("_chunk").alias("_of_chunk"), "_start",
-        F.col("source_size").alias("_source_size"), F.col("target").alias("_target"))
-
-    within = Window.partitionBy("_source", "_chunk").orderBy("_draw", "_size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("_inner", F.coalesce(F.sum("_size").over(within), F.lit(0)))
-    joined = placed.join(
-        starts, F.col("_source").eqNullSafe(F.col("_of_source")) & (F.col("_chunk") == F.col("_of_chunk")))
-    filled = F.floor(F.col("_target") / F.col("_source_size"))
-    joined = joined.withColumn("_whole", F.when(F.col("_source_size") > 0, filled).otherwise(0).cast("long"))
-    missing = F.col("_target") - F.col("_whole") * F.col("_source_size")
-    once_more = F.col("_start") + F.col("_inner") + F.col("_size") / 2 < missing
-    repeats = F.col("_whole") + once_more.cast("long")
+    earlier = Window.partitionBy(source).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    starts = chunks.select(
+        F.col(source).alias(of_source), F.col(chunk).alias(of_chunk), F.coalesce(F.sum("chunk_size").over(earlier), F.lit(0)).alias(start))
+    starts = starts.join(targets, F.col(of_source).eqNullSafe(F.col("source"))).select(
+        of_source, of_chunk, start, F.col("source_size").alias(total), F.col("target").alias(target))
+
+    within = Window.partitionBy(source, chunk).orderBy(draw, size).rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn(inner, F.coalesce(F.sum(size).over(within), F.lit(0)))
+    joined = placed.join(starts, F.col(source).eqNullSafe(F.col(of_source)) & (F.col(chunk) == F.col(of_chunk)))
+    filled = F.floor(F.col(target) / F.col(total))
+    joined = joined.withColumn(whole, F.when(F.col(total) > 0, filled).otherwise(0).cast("long"))
+    missing = F.col(target) - F.col(whole) * F.col(total)
+    once_more = F.col(start) + F.col(inner) + F.col(size) / 2 < missing
+    repeats = F.col(whole) + once_more.cast("long")
     return joined.select(
-        *[F.col(f"`{c}`") for c in names], F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"), repeats.alias("repeats"), (F.col("_size") * repeats).alias("taken"))
+        *[F.col(f"`{c}`") for c in names], F.col(size).alias("size"), F.col(total).alias("source_size"),
+        F.col(target).alias("target"), repeats.alias("repeats"), (F.col(size) * repeats).alias("taken"))
 
 
 def repeated(mix: DataFrame) -> DataFrame:
@@ -114,6 +117,6 @@ def repeated(mix: DataFrame) -> DataFrame:
 
 def mixed_corpus(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus with all of the documents' columns, also those named like what ``mixed`` adds."""
-    aside = {c: fresh(docs.columns, f"_{c}_of_docs") for c in docs.columns if c in ADDED}
+    aside = {c: fresh(docs.columns, f"_{c}_of_docs") for c in docs.columns if c.lower() in ADDED}
     out = repeated(mixed(docs.withColumnsRenamed(aside), **options))
     return out.withColumnsRenamed({b: a for a, b in aside.items()}).select(*[F.col(f"`{c}`") for c in docs.columns])
