@@ -5,7 +5,8 @@ one with the largest id is a ``response``; the others are ``revisit`` records
 that name it and hold no payload.  Each task writes one archive file (to a
 name of its own first, then moved, so that a repeated task replaces it) and
 returns the index: file, offset, length, url and digest per record, stored as
-Parquet in the same folder.  Every record is a gzip member of its own, as usual for
+Parquet in the same folder.  A file begins with a ``warcinfo`` record; a revisit
+names the response's page, URI and record id.  Every record is a gzip member of its own, as usual for
 archives, so offsets and lengths are those of compressed bytes.
 
 ``read_records`` takes selected index rows, deals them out by file and stretch
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -49,24 +51,46 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, date: str) -> tuple[bytes, str]:
+def target_uri(page_id: int | None, url: str | None) -> str:
+    return "".join(c if c > " " else f"%{ord(c):02X}" for c in url) if url else f"urn:page:{page_id}"
+
+
+def record_id(*parts: object) -> str:
+    """The same id for the same record, also when a task is repeated."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join(map(str, parts)))}>"
+
+
+def record(
+    page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, refers_to_url: str | None, revisit: bool, date: str,
+) -> tuple[bytes, str]:
     """One record's bytes and the digest of its payload."""
     sha = digest(payload)
-    uri = "".join(c if c > " " else f"%{ord(c):02X}" for c in url) if url else f"urn:page:{page_id}"
+    uri = target_uri(page_id, url)
     block = _HTTP.format(len(payload)).encode() + (b"" if revisit else payload)
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {uri} {sha}')}>",
+        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id, uri, sha)}",
         f"WARC-Date: {date}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{sha}",
         f"X-Payload-Length: {len(payload)}", "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(block)}",
     ]
     head += [] if page_id is None else [f"X-Page-ID: {page_id}"]
-    head += [f"WARC-Profile: {_PROFILE}"] if revisit else []
-    head += [f"X-Refers-To-Page: {refers_to}"] if revisit and refers_to is not None else []
+    if revisit:
+        response = target_uri(refers_to, refers_to_url)
+        head += [
+            f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {record_id(refers_to, response, sha)}",
+            f"WARC-Refers-To-Target-URI: {response}", f"WARC-Refers-To-Date: {date}", f"X-Refers-To-Page: {refers_to}"]
     return "\r\n".join(head).encode() + _END + block + _END, sha
 
 
+def file_record(name: str, date: str) -> bytes:
+    """The ``warcinfo`` record that a file begins with."""
+    block = b"software: termscope\r\nformat: WARC File Format 1.1\r\n"
+    head = [
+        "WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id('warcinfo', name)}", f"WARC-Date: {date}",
+        f"WARC-Filename: {name}", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + _END + block + _END
+
+
 def packed(data: bytes) -> bytes:
     """A gzip member without name or time, so that repeated tasks write equal bytes."""
     member = zlib.compressobj(level=4, wbits=31)
@@ -92,14 +116,15 @@ def roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     once, by page, where no key is hot.
     """
     keyed = pages.withColumn("key", F.sha2(F.col("payload").cast("binary"), 256))
-    narrow = keyed.select("page_id", "key", F.octet_length("payload").alias("n"))
+    narrow = keyed.select("page_id", "url", "key", F.octet_length("payload").alias("n"))
     tops = narrow.where(F.col("n") >= min_bytes).groupBy("key").agg(
-        F.max("page_id").alias("top"), F.count("*").alias("copies")).where("copies > 1 and top is not null")
+        F.max("page_id").alias("top"), F.max_by("url", "page_id").alias("top_url"), F.count("*").alias("copies")).where("copies > 1 and top is not null")
     again = narrow.join(tops, "key").where(~F.col("page_id").eqNullSafe(F.col("top"))).select(
-        F.col("page_id").alias("again_id"), F.col("key").alias("again_key"), F.col("top").alias("refers_to")).distinct()
+        F.col("page_id").alias("again_id"), F.col("key").alias("again_key"), F.col("top").alias("refers_to"),
+        F.col("top_url").alias("refers_to_url")).distinct()
     of_row = keyed["page_id"].eqNullSafe(again["again_id"]) & (keyed["key"] == again["again_key"])
     return keyed.join(again, of_row, "left").select(
-        "page_id", "url", "payload", F.col("again_key").isNotNull().alias("revisit"), "refers_to")
+        "page_id", "url", "payload", F.col("again_key").isNotNull().alias("revisit"), "refers_to", "refers_to_url")
 
 
 def write_archive(
@@ -119,12 +144,12 @@ def write_archive(
         store.create_dir(root, recursive=True)
         name = f"part-{task.partitionId():05d}.warc.gz"
         mine = f"{root}/.{name}.{task.taskAttemptId()}"
-        at = 0
         with store.open_output_stream(mine) as out:
+            at = out.write(packed(file_record(name, date)))
             for batch in batches:
                 index = []
-                for page_id, url, payload, revisit, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    data, sha = record(page_id, url, payload.encode(), refers_to, revisit, date)
+                for page_id, url, payload, revisit, refers_to, refers_to_url in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    data, sha = record(page_id, url, payload.encode(), refers_to, refers_to_url, revisit, date)
                     data = packed(data)
                     out.write(data)
                     kind = "revisit" if revisit else "response"
@@ -152,9 +177,14 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/index")
 
 
+def read_tasks(wanted_bytes: int, stretch_bytes: int) -> int:
+    """Twice as many tasks as stretches, so that few tasks have several."""
+    return max(1, 2 * math.ceil(wanted_bytes / stretch_bytes))
+
+
 def read_records(
     index: DataFrame, path: str, payloads: bool = True, gap_bytes: int = 64 << 10, range_bytes: int = 8 << 20,
-    stretch_bytes: int = 64 << 20,
+    stretch_bytes: int = 8 << 20,
 ) -> DataFrame:
     """The records of the index rows given; ``payloads=False`` leaves the payload column null."""
     def read(store, name: str, rows: list[tuple[int, int]]) -> list[tuple]:
@@ -189,6 +219,9 @@ def read_records(
         if rows:
             yield _batch(read(store, f"{root}/{name}", rows), RECORD_SCHEMA)
 
+    # The rows are narrow but stand for the bytes they point to, so the number of tasks follows those.
+    wanted = index.agg(F.sum("length")).first()[0] or 0
     stretch = F.floor(F.col("offset") / stretch_bytes)
-    dealt = index.select("file", "offset", "length").repartition("file", stretch).sortWithinPartitions("file", "offset")
+    dealt = index.select("file", "offset", "length").repartition(
+        read_tasks(wanted, stretch_bytes), "file", stretch).sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(run, RECORD_SCHEMA)
