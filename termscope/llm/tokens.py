@@ -18,7 +18,7 @@ first split ends, hence the ids are those of the whole text.  Texts with charact
 or with the text of a special token, are encoded in one piece.
 
 Defined results: a null text counts as empty and gives the end id alone; null
-ids come first; rows that agree in id follow by text; an empty table gives
+ids come first; rows that agree in id follow by a hash of their text; an empty table gives
 an empty folder.  Extra columns are not read.
 """
 
@@ -114,6 +114,13 @@ class Encoder:
         return [self.whole([t])[0] if runs is None else b"".join(some) for t, runs, some in zip(texts, split, found, strict=True)]
 
 
+def text_order(text: str) -> tuple[int, int]:
+    """What rows that agree in id are ordered by: Spark's xxhash64 of the text, and its length."""
+    import xxhash
+
+    return np.array(xxhash.xxh64_intdigest(text, seed=42), np.uint64).astype(np.int64).item(), len(text)
+
+
 def _gaps(found: list[bytes | None]) -> list[int]:
     """Places of None."""
     out, at = [], -1
@@ -229,7 +236,9 @@ def write_tokens(
 ) -> None:
     """Encode ``text_col`` of all rows into the token folder ``path``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The texts' hashes let range borders fall inside an id that many rows have.
+    order = ["doc_id", F.xxhash64("text"), F.length("text")]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     store, root = fs.FileSystem.from_uri(f"{path}/{TOKENS}")
     store.create_dir(root, recursive=True)
     written = materialize(dealt.mapInArrow(_encode(path, tokenizer, end_id, layout), "part int, n_rows long, n_ids long"))
@@ -242,12 +251,12 @@ def write_tokens(
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all rows before), n_tokens, tokens; columns that are not used are not read.
 
-    ``parts`` is broadcast: it has one row per file of the folder.
+    ``parts`` has one row per file of the folder; Spark broadcasts it while it is small.
     """
     parts = spark.read.schema("part int, part_start long").parquet(f"{path}/{PARTS}")
     rows = spark.read.schema(SCHEMA).parquet(f"{path}/{TOKENS}")
     start = (F.col("part_start") + F.col("local_start")).alias("start")
-    return rows.join(F.broadcast(parts), "part").select("doc_id", start, "n_tokens", "tokens")
+    return rows.join(parts, "part").select("doc_id", start, "n_tokens", "tokens")
 
 
 def with_crc(tokens: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from termscope.llm import licenses, mixing, tokens, warc
 from termscope.session import scratch_dir
@@ -77,6 +78,16 @@ def test_mixing(spark):
     assert rows_of(mixing.mixed(docs, seed="other")) != rows_of(again)
 
 
+def test_helper_columns_do_not_clash(spark):
+    names = ("_source", "_size", "_draw", "_chunk", "_start", "_inner", "_whole", "_of_source", "_of_chunk", "_total", "_target", "_copy", "Taken")
+    plain = table(spark, mix_rows(), MIX)
+    docs = plain.withColumns({n: F.lit("x") for n in names})
+    wanted = ("doc_id", "source", "text")
+    mix = mixing.mixed(docs)
+    assert sorted(map(str, mix.select(*wanted, "taken").collect())) == sorted(map(str, mixing.mixed(plain).select(*wanted, "taken").collect()))
+    assert mixing.mixed_corpus(docs).columns == docs.columns
+
+
 def test_repeated_documents(spark):
     docs = table(spark, mix_rows(), MIX).drop("size", "target")
     mix = mixing.mixed(docs)
@@ -95,7 +106,7 @@ def test_tokens_round_trip(spark):
     read = tokens.read_tokens(spark, path)
     library = tokens.Encoder(TOKENIZER).library
     want, start = [], 0
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tokens.text_order(r[1] or ""))):
         ids = library.encode(t or "", add_special_tokens=False).ids + [2]
         want.append((i, start, len(ids), ids))
         start += len(ids)
@@ -117,6 +128,22 @@ def test_tokens_round_trip(spark):
     assert read.where("doc_id between 30 and 32").select("n_tokens").count() == 3
 
 
+def test_tokens_of_a_hot_id(spark):
+    path = scratch_dir(spark)
+    rows = [(7, f"text {k} " * (k % 5)) for k in range(400)] + [(None, f"{k}") for k in range(300)] + [(k, "t") for k in range(20)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tokens.write_tokens(table(spark, rows).repartition(6), path, TOKENIZER, 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = tokens.read_tokens(spark, path).orderBy("start").collect()
+    assert [r.start for r in read] == [sum(r.n_tokens for r in read[:k]) for k in range(len(read))]
+    ids = [-1 if r.doc_id is None else r.doc_id for r in read]
+    assert ids == sorted(ids) and len(ids) == len(rows)
+    parts = spark.read.parquet(f"{path}/{tokens.PARTS}").count()
+    assert parts == 4  # each of the test session's partitions has rows, although two ids hold nearly all
+
+
 def test_tokens_of_nothing(spark):
     path = scratch_dir(spark)
     tokens.write_tokens(table(spark, []), path, TOKENIZER, 2)
@@ -151,14 +178,29 @@ def test_license_report(spark):
         words = re.findall(licenses.WORD, t)
         places = [(k, label) for p, label in licenses.PHRASES.items() for k in range(len(words)) if words[k : k + len(p.split())] == p.split()]
         labels, best, blocks = {x for _, x in places}, 0.0, set()
-        for b, line in enumerate(t.split("\n")):
-            have = set(re.findall(licenses.WORD, line))
-            for label, template in licenses.TEMPLATES:
-                need = set(template.split())
-                if len(have & need) >= licenses.required(len(need), 0.9):
-                    labels.add(label)
-                    blocks.add(b)
-                    best = max(best, len(have & need) / len(need))
+        lines = [re.findall(licenses.WORD, line) for line in t.split("\n")]
+        line_of = [b for b, line in enumerate(lines) for _ in line]
+        step = licenses.half_window(licenses.TEMPLATES)
+        for label, template in licenses.TEMPLATES:
+            need = set(template.split())
+
+            def common(have, need=need):
+                n = len(set(have) & need)
+                return n if n >= licenses.required(len(need), 0.9) else 0
+
+            hit = {b for b, line in enumerate(lines) if common(line)}
+            best = max([best, *(common(lines[b]) / len(need) for b in hit)])
+            last, around = None, set()
+            for k in range(max(-(-len(words) // step) - 2, 0) + 1):
+                window = range(k * step, min((k + 2) * step, len(words)))
+                if window and line_of[window[0]] < line_of[window[-1]] and common([words[x] for x in window]):
+                    if not any(line_of[window[0]] <= b <= line_of[window[-1]] for b in hit):
+                        around |= set() if last == k - 1 else {-1 - k}
+                        last = k
+                        best = max(best, common([words[x] for x in window]) / len(need))
+            if hit | around:
+                labels.add(label)
+                blocks |= hit | around
         at = [k for k, _ in places]
         want[i, len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places})),
              ",".join(sorted(labels)), 1.0 if at else best, len(blocks)] += 1
@@ -183,10 +225,8 @@ def test_wrapped_licenses(spark):
                 want.append((label, 1.0, 1))
     rows += [(1000, MIT + "\n" + other), (1001, other + "\n" + other), (1002, MIT.replace(" to", "\nto") + "\n" + other + "\n" + MIT)]
     want += [("mit", 1.0, 1), ("", 0.0, 0), ("mit", 1.0, 2)]
-    found = {r.doc_id: r for r in licenses.license_report(table(spark, rows), wrapped=True).collect()}
+    found = {r.doc_id: r for r in licenses.license_report(table(spark, rows)).collect()}
     assert [(found[i].labels, found[i].score, found[i].n_blocks) for i, _ in rows] == want
-    lines = {r.doc_id: r.n_blocks for r in licenses.license_report(table(spark, rows)).collect()}
-    assert sum(lines.values()) == 2
 
 
 PAGES = "page_id long, url string, html string, file string, offset int"
@@ -242,6 +282,37 @@ def test_warc_files_are_plain_gzip(spark):
         assert data.startswith(b"WARC/1.1\r\n") and data.endswith(b"\r\n\r\n")
 
 
+def test_warc_reads_are_dealt_by_bytes(spark):
+    path = scratch_dir(spark)
+    noise = random.Random(8)
+    rows = [(i, "u", "".join(chr(noise.randrange(33, 1000)) for _ in range(3000)), "f", 1) for i in range(60)]
+    warc.write_archive(table(spark, rows, PAGES).coalesce(1), path)
+    index = warc.read_index(spark, path)
+    read = warc.read_records(index, path, stretch_bytes=20_000, range_bytes=8_000)
+    per_task = read.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 3 and sum(r["count"] for r in per_task) == 60
+
+
+def test_warc_revisits_name_their_response(spark):
+    path = scratch_dir(spark)
+    warc.write_archive(table(spark, page_rows(), PAGES), path)
+    seen = {}
+    for f in glob.glob(f"{path.removeprefix('file://')}/*.warc.gz"):
+        with gzip.open(f) as archive:
+            heads = [h for h in archive.read().split(b"WARC/1.1\r\n") if h.startswith(b"WARC-Type")]
+        assert heads[0].startswith(b"WARC-Type: warcinfo")
+        for h in heads:
+            head = dict(x.split(": ", 1) for x in h.decode(errors="replace").split("\r\n\r\n")[0].split("\r\n"))
+            seen[head["WARC-Record-ID"]] = head
+    revisits = [h for h in seen.values() if h["WARC-Type"] == "revisit"]
+    assert revisits
+    for h in revisits:
+        response = seen[h["WARC-Refers-To"]]
+        assert response["WARC-Type"] == "response" and response["X-Page-ID"] == h["X-Refers-To-Page"]
+        assert response["WARC-Target-URI"] == h["WARC-Refers-To-Target-URI"]
+        assert response["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
+
+
 def test_warc_of_nothing(spark):
     path = scratch_dir(spark)
     warc.write_archive(table(spark, [], PAGES), path)
