@@ -13,7 +13,9 @@ from termscope.operators import ingest as I
 from termscope.operators import upsert as U
 from termscope.session import scratch_dir
 from termscope.sources import classes as C
+from termscope.sources import published
 from termscope.sources import tables as T
+from termscope.sources.keyed import KeyedTable
 from termscope.streaming import ingest as ST
 
 
@@ -207,6 +209,49 @@ def stream_ingest(spark, sf_dir):
     return tidy(rows.select("term_id", "class_nbr", "payload"))
 
 
+_KEYED = "key long, title string, amount double, flag boolean, status string"
+
+
+def upsert_bucketed(spark, sf_dir):
+    """The upsert on a table in buckets: only the buckets that the orders touch are read and written."""
+    table = KeyedTable(spark, scratch_dir(spark), _KEYED, ["key"], buckets=32)
+    table.create(stored(spark, sf_dir))
+    table.upsert(updates(spark, sf_dir), order_by=["seq"])
+    return tidy(table.rows())
+
+
+def insert_bucketed(spark, sf_dir):
+    table = KeyedTable(spark, scratch_dir(spark), _KEYED, ["key"], buckets=32)
+    table.create(stored(spark, sf_dir))
+    table.insert_missing(updates(spark, sf_dir), order_by=["seq"])
+    return tidy(table.rows())
+
+
+def stream_folded(spark, sf_dir):
+    """Events landed in twelve files, streamed a file a batch, folded twice, then put into a table in buckets."""
+    land, target, marks = (scratch_dir(spark) for _ in range(3))
+    events = B.read(spark, sf_dir, "events")
+    events.withColumn("file", F.col("event_id") % 12).write.partitionBy("file").parquet(land)
+    table = KeyedTable(spark, scratch_dir(spark), _EVENT, list(ST.KEYS), buckets=16)
+    for _ in range(2):
+        files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(land)
+        ST.stream_ingest(spark, files, target, marks, to_rows=_event_rows)
+        ST.fold(spark, target, _EVENT, fanout=4)
+    ST.absorb(spark, target, table, _EVENT)
+    return tidy(table.rows().select("term_id", "class_nbr", "payload"))
+
+
+def refresh_whole(spark, sf_dir):
+    """Parts and labels refreshed twice as one set, the labels read from the current set."""
+    path, parents = scratch_dir(spark), {"labels": ("part",), "part": ()}
+    for _ in range(2):
+        published.refresh(spark, path, lambda name: B.read(spark, sf_dir, name), parents, {"labels": ("quality", "toxic")})
+    part = published.current(spark, path, "part").select(
+        F.lit("part").alias("kind"), F.col("p_partkey").alias("id"), F.lit(None).cast("boolean").alias("quality"))
+    labels = published.current(spark, path, "labels").select(F.lit("label"), "doc_id", "quality")
+    return tidy(part.unionAll(labels))
+
+
 def copy_coerce(spark, sf_dir):
     """Labels copied through Parquet with flags to booleans, then through CSV."""
     out = scratch_dir(spark)
@@ -237,6 +282,10 @@ QUERIES = {
     "apply_ratings_legacy": _apply(True),
     "stream_ingest": stream_ingest,
     "copy_coerce": copy_coerce,
+    "upsert_bucketed": upsert_bucketed,
+    "insert_bucketed": insert_bucketed,
+    "stream_folded": stream_folded,
+    "refresh_whole": refresh_whole,
 }
 
 _CLASSES = {
@@ -369,4 +418,8 @@ ORACLES = {
         SELECT event_type AS term_id, user_id::VARCHAR AS class_nbr,
                arg_max(event_id, ts)::VARCHAR AS payload FROM events GROUP BY event_type, user_id""",
     "copy_coerce": "SELECT doc_id, quality = 1 AS quality, toxic = 1 AS toxic FROM labels",
+    "refresh_whole": """
+        SELECT 'part' AS kind, p_partkey AS id, NULL::BOOLEAN AS quality FROM part
+        UNION ALL SELECT 'label', doc_id, quality = 1 FROM labels""",
 }
+ORACLES |= {"upsert_bucketed": ORACLES["upsert_latest"], "insert_bucketed": ORACLES["insert_missing"], "stream_folded": ORACLES["stream_ingest"]}
