@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from checks import bindings as B
 from checks.sql import CTE, query
 from checks.tidy import tidy
 from termscope.operators import features as P
-from termscope.plans.enrollment import enrollment_features
+from termscope.operators.history import merge_states
+from termscope.operators.model import two_terms
+from termscope.plans.enrollment import enrollment_features, section_state
+from termscope.session import materialize
+
 
 def features(spark, sf_dir):
     return tidy(enrollment_features(B.tables(spark, sf_dir)))
@@ -20,8 +26,29 @@ def meeting_features(spark, sf_dir):
     return tidy(P.python_features(B.section(spark, sf_dir)))
 
 
+def features_from_state(spark, sf_dir):
+    """The last term from its own sections and the stored states of the terms before, added up."""
+    tables = B.tables(spark, sf_dir)
+    section, course = tables["section"], tables["course"]
+    _, last = two_terms(section)
+    old = section.where(F.col("term_id") < last).withColumn("half", F.pmod(F.hash("term_id"), F.lit(2)))
+    halves = [materialize(section_state(old.where(F.col("half") == k).drop("half"), course)) for k in (0, 1)]
+    new = {**tables, "section": section.where(F.col("term_id") == last)}
+    return tidy(enrollment_features(new, state=merge_states(*halves)))
+
+
+def features_prior_terms(spark, sf_dir):
+    """History of earlier terms only, as it is known when a term begins."""
+    rows = enrollment_features(B.tables(spark, sf_dir), prior_terms_only=True)
+    return tidy(rows.select(
+        "term_id", "class_nbr", "prev_fill_ratio", "prior_course_terms", "avg_fill_ratio_prior_course", "avg_capacity_prior_course",
+        "avg_fill_ratio_prior_subject_level", "prior_subject_offerings"))
+
+
 QUERIES = {
     "enrollment_features": features,
+    "features_from_state": features_from_state,
+    "features_prior_terms": features_prior_terms,
     "enrollment_features_legacy": features_legacy,
     "python_features": meeting_features,
 }
@@ -65,6 +92,20 @@ def _minutes(c: str) -> str:
 
 
 ORACLES = {
+    "features_from_state": query(FEATURE_SELECT + " WHERE term_id = (SELECT max(term_id) FROM section)"),
+    "features_prior_terms": query("""
+        SELECT term_id, class_nbr,
+               round(coalesce(last(fill_ratio ORDER BY term_numeric, md5(class_nbr)) OVER course, 0)::DOUBLE, 6) AS prev_fill_ratio,
+               (count(*) OVER course)::BIGINT AS prior_course_terms,
+               round((avg(fill_ratio) OVER course)::DOUBLE, 6) AS avg_fill_ratio_prior_course,
+               round((avg(capacity) OVER course)::DOUBLE, 6) AS avg_capacity_prior_course,
+               round((avg(fill_ratio) OVER level)::DOUBLE, 6) AS avg_fill_ratio_prior_subject_level,
+               (count(*) OVER subject)::BIGINT AS prior_subject_offerings
+        FROM feature_history
+        WINDOW course AS (PARTITION BY course_id ORDER BY term_numeric RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+               level AS (PARTITION BY subject_id, coalesce(course_level, 0) ORDER BY term_numeric
+                         RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+               subject AS (PARTITION BY subject_id ORDER BY term_numeric RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""),
     "enrollment_features": query(FEATURE_SELECT),
     "enrollment_features_legacy": query(FEATURE_SELECT, professor_features=_LEGACY),
     "python_features": query(f"""

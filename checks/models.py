@@ -77,10 +77,10 @@ def one_hot(spark, sf_dir):
 def one_hot_wide(spark, sf_dir):
     """Every class number as a category of its own."""
     rows = facts(spark, sf_dir).select(F.when(F.col("capacity") % 9 != 0, F.col("class_nbr")).alias("class_nbr"))
-    encoded, names = M.encode(rows, ["class_nbr"])
+    encoded, _, (names,) = M.encode(rows, ["class_nbr"])
     places = encoded.groupBy("class_nbr", F.col("class_nbr_index").cast("bigint").alias("place")).agg(
         F.count("*").alias("rows"))
-    return tidy(places.withColumn("names", F.lit(len(names["class_nbr"]))))
+    return tidy(places.withColumn("names", F.lit(names)))
 
 
 def term_split(spark, sf_dir):
@@ -187,9 +187,9 @@ def _ordered(spark, sf_dir):
         part.cast("int").alias("course_id"), (part * 1000 + F.col("l_suppkey")).cast("string").alias("class_nbr"), "l_linestatus")
 
 
-def _pairs(spark, sf_dir):
+def _pairs(spark, sf_dir, ordered=None):
     """Every customer with the sections of each course ordered, in the term of the order line."""
-    wanted = _ordered(spark, sf_dir).select("student_id", "term_id", "course_id")
+    wanted = (ordered or _ordered(spark, sf_dir)).select("student_id", "term_id", "course_id")
     return G.score_grid(G.candidate_pairs(students(spark, sf_dir), _pool(spark, sf_dir), wanted), AREAS)
 
 
@@ -202,23 +202,32 @@ def demand_pairs(spark, sf_dir):
         F.avg("got_in_probability").alias("probability")))
 
 
-def _labelled(spark, sf_dir):
+def _labelled(spark, sf_dir, terms=()):
     """The candidate pairs with an outcome from the tables (the reference draws it at random).
 
     A customer got into a section when one of the order lines for it has status F.
+    ``terms`` keeps the lines of these terms alone, before they meet the sections.
     """
     key = ["student_id", "term_id", "class_nbr"]
-    outcome = _ordered(spark, sf_dir).groupBy(key).agg(F.max((F.col("l_linestatus") == "F").cast("int")).alias("got_in"))
-    return _pairs(spark, sf_dir).join(outcome, key, "left").withColumn("got_in", F.coalesce("got_in", F.lit(0)))
+    ordered = _ordered(spark, sf_dir)
+    if terms:
+        ordered = ordered.where(F.col("term_id").isin(*terms))
+    outcome = ordered.groupBy(key).agg(F.max((F.col("l_linestatus") == "F").cast("int")).alias("got_in"))
+    return _pairs(spark, sf_dir, ordered).join(outcome, key, "left").withColumn("got_in", F.coalesce("got_in", F.lit(0)))
+
+
+def _two_terms(spark, sf_dir):
+    """The pairs of the terms that the models learn from and are applied to."""
+    return _labelled(spark, sf_dir, M.two_terms(B.section(spark, sf_dir)))
 
 
 def probability_model_predictions(spark, sf_dir):
-    report = E.evaluate_probability_model(_labelled(spark, sf_dir))
+    report = E.evaluate_probability_model(_two_terms(spark, sf_dir))
     return report.predictions.orderBy("student_id", "class_nbr")
 
 
 def context_model_metrics(spark, sf_dir):
-    return E.evaluate_context_model(_labelled(spark, sf_dir)).metrics
+    return E.evaluate_context_model(_two_terms(spark, sf_dir)).metrics
 
 
 QUERIES = {

@@ -84,13 +84,36 @@ def test_history_prior_terms_only(spark):
         assert r.prior_subject_offerings == sum(b["subject_id"] == r.subject_id for b in earlier)
 
 
+@pytest.mark.parametrize("prior_only", [False, True])
+def test_new_terms_from_state_equal_the_full_run(spark, prior_only):
+    df = spark.createDataFrame([tuple(r.values()) for r in section_rows()], KINDS)
+    terms = sorted({r["term_numeric"] for r in section_rows()})
+    full = {r.class_nbr: tuple(r[n] for n in NAMES) for r in H.course_history(df, prior_terms_only=prior_only).collect()}
+    states = [H.history_state(df.where(F.col("term_numeric") == t)) for t in terms[:-1]]
+    left, right = H.merge_states(H.merge_states(*states[:2]), *states[2:]), H.merge_states(states[0], H.merge_states(*states[1:]))
+    new = df.where(F.col("term_numeric") == terms[-1])
+    for state in (left, right):
+        rows = H.course_history(new, prior_terms_only=prior_only, state=state).collect()
+        assert rows and all(tuple(r[n] for n in NAMES) == pytest.approx(full[r.class_nbr]) for r in rows)
+
+
+def test_hot_subjects_are_added_up_before_they_are_dealt(spark):
+    df = spark.createDataFrame([tuple(r.values()) for r in section_rows()], KINDS)
+    totals = H.chunk_totals(H._chunked(df, H.TIE, 2))
+    plan = H._rolled_up(totals, ["subject_key"], ["s_rows"])._jdf.queryExecution().executedPlan().toString()
+    by_key = plan.index("hashpartitioning(subject_key")
+    assert "HashAggregate" in plan[by_key:].split("hashpartitioning(subject_key", 2)[1]
+    assert plan.count("partial_sum") >= 2
+
+
 def test_history_plan_has_no_python_and_moves_wide_rows_once(spark):
     df = spark.createDataFrame([tuple(r.values()) for r in section_rows(20)], KINDS)
     plan = H.course_history(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Join" not in plan
-    # The sections themselves are dealt once, by chunk; beside that one narrow aggregate and three roll-ups move.
+    # The sections themselves are dealt once, by chunk; beside that narrow totals move, by key and chunk and by key.
     assert len(re.findall(r"Exchange hashpartitioning\(spot", plan)) == 1
-    assert len(set(re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\w+)#", plan))) <= 2
+    others = set(re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\w+)#", plan))
+    assert others <= {("course_id", "subject_key"), ("course_id", "spot"), ("subject_key", "level_key"), ("subject_key", "spot")}
 
 
 def test_professor_features_equal_the_joined_form(spark):
@@ -171,15 +194,35 @@ def test_split_scaler_dummies(spark):
 def test_many_values_stay_sparse(spark):
     rows = [(k, f"v{k:05d}" if k % 7 else None, float(k % 3)) for k in range(6000)]
     df = spark.createDataFrame(rows, "n int, k string, x double")
-    inputs, names = M.model_inputs(df, [], ["k"], [])
+    inputs, features = M.model_inputs(df, [], ["k"], [])
     scale = M.fit_scale(inputs)
-    assert len(names) == 2 + 1 + sum(v is not None for _, v, _ in rows) and names[-1] == "k_nan"
+    names = [r.feature for r in features.table.orderBy("place").collect()]
+    assert names == ["n", "x", *(f"k_{v}" for _, v, _ in rows if v), "k_nan"] and features.count == len(names)
     got = M.scaled(inputs, scale).collect()
     assert all(len(r.features.indices) <= 3 for r in got)
     nulls = np.array([v is None for _, v, _ in rows], float)
     assert scale.mean[-1] == pytest.approx(nulls.mean()) and scale.deviation[-1] == pytest.approx(nulls.std())
 
 
+def test_value_index_has_text_order_and_null_last(spark):
+    values = ["b", "a", None, "10", "9", "ü", "", "a"] + ["hot"] * 500
+    df = spark.createDataFrame([(v, n % 3) for n, v in enumerate(values)], "k string, n int").repartition(5)
+    index = {(r.column, r.value): r.place for r in M.value_index(df, ["k", "n"]).collect()}
+    order = sorted({v for v in values if v is not None})
+    assert index == {(0, v): p for p, v in enumerate(order)} | {(0, None): len(order)} | {
+        (1, v): p for p, v in enumerate(["0", "1", "2", None])}
+    empty = M.value_index(df.limit(0), ["k"])
+    assert [tuple(r) for r in empty.collect()] == [(0, None, 0)]
+
+
+def test_rows_and_terms_are_observed_in_one_write(spark):
+    df = spark.createDataFrame([("1", 1.0), ("2", 2.0), ("3", 3.0)], "term_id string, x double")
+    sides = E._prepared(df, lambda rows: M.model_inputs(rows, ["term_id"], [], ["term_id"]))
+    assert (sides.rows, sides.first, sides.last, sides.train.count(), sides.test.count()) == (3, "1", "3", 1, 1)
+    with pytest.raises(ValueError):
+        E._prepared(df.where("term_id = '1'"), lambda rows: M.model_inputs(rows, ["term_id"], [], ["term_id"]))
+
+
 def test_fits_report_a_missing_optimum(spark):
     _, _, _, df = vectors(spark)
     with pytest.raises(RuntimeError):
@@ -215,7 +258,8 @@ def test_ridge_matches_the_closed_form(spark):
     a = np.c_[np.ones(len(x)), x]
     want = np.linalg.solve(a.T @ a + 25 * np.diag([0, 1, 1, 1]), a.T @ z)
     assert [model.intercept, *model.coefficients] == pytest.approx(list(want), abs=1e-6)
-    weights = M.top_weights(M.weight_table(df, model, ["a", "b", "c"], bias=True), 2)
+    names = spark.createDataFrame(list(enumerate("abc")), "place long, feature string")
+    weights = M.top_weights(M.weight_table(model, M.Features(names, 3), bias=True), 2)
     assert weights.first().feature == "b" and weights.count() == 2
 
 
