@@ -1,7 +1,9 @@
 """Page extraction: links, ratings, review blocks and requirement rules.
 
 A page's outline (see ``sources.html``) is one row, so every step below is an
-array expression on that row: no shuffle, and nothing is joined to itself.
+array expression on that row: no shuffle, and nothing is joined to itself.  What
+stands below, around or after a node is looked up by the places that the
+parser noted, so the work grows with the page and not with its square.
 """
 
 from __future__ import annotations
@@ -13,9 +15,8 @@ from pyspark.sql import functions as F
 
 from termscope import defaults as D
 from termscope.functions.text import bind, clean_text, normalize_name, null_if
-from termscope.sources.html import outline
+from termscope.sources.html import BOXES, outline
 
-BOXES = ("li", "div", "article", "section")
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 STRIP = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
@@ -56,8 +57,9 @@ def _strip(col: Column) -> Column:
     return F.regexp_replace(col, STRIP, "")
 
 
-def _below(node: Column, box: Column) -> Column:
-    return (node["i"] > box["i"]) & (node["i"] < box["stop"])
+def _below(nodes: Column, box: Column) -> Column:
+    """The nodes below one, in document order."""
+    return F.slice(nodes, box["at"] + 2, box["end"] - box["at"] - 1)
 
 
 def page_text(pages: DataFrame, html: str = "raw_html", name: str = "raw_text") -> DataFrame:
@@ -92,13 +94,12 @@ def link_array(page: Column, base_url: str, href_regex: str) -> Column:
         nodes, lambda n: (n["tag"] == "a") & F.regexp_like(clean_text(n["href"]), F.lit(href_regex))
     )
 
+    def noted(k: Column) -> Column:
+        """The node at a place, null at -1."""
+        return F.get(nodes, k)
+
     def box_heading(a: Column) -> Column:
-        boxes = F.filter(nodes, lambda b: b["tag"].isin(*BOXES) & _below(a, b))
-        heads = bind(
-            F.get(F.reverse(boxes), F.lit(0)),
-            lambda b: F.filter(nodes, lambda n: n["tag"].isin("h1", "h2", "h3", "h4") & _below(n, b)),
-        )
-        return normalize_name(_joined(page, F.get(heads, F.lit(0))))
+        return bind(noted(noted(a["box"])["head"]), lambda h: normalize_name(_joined(page, h)))
 
     def link(a: Column) -> Column:
         name = bind(normalize_name(_joined(page, a)), lambda n: F.when(n != "", n).otherwise(box_heading(a)))
@@ -109,13 +110,19 @@ def link_array(page: Column, base_url: str, href_regex: str) -> Column:
 
     named = F.filter(F.transform(anchors, link), lambda k: k["professor_name"] != "")
 
-    def once(newest_first: Column) -> Column:
-        urls = F.transform(newest_first, lambda k: k["professor_page_url"])
-        return F.filter(
-            newest_first, lambda k, n: F.array_position(urls, k["professor_page_url"]) == n + 1
-        )
+    def last_of_each(by_url: Column) -> Column:
+        last = F.filter(by_url, lambda x, n: ~x["url"].eqNullSafe(F.get(by_url, n + 1)["url"]))
+        newest_first = F.array_sort(F.transform(last, lambda x: F.struct((-x["n"]).alias("n"), x["name"].alias("name"), x["url"].alias("url"))))
+        return F.transform(newest_first, lambda x: F.struct(x["name"].alias("professor_name"), x["url"].alias("professor_page_url")))
+
+    numbered = F.transform(named, lambda k, n: F.struct(
+        k["professor_page_url"].alias("url"), n.alias("n"), k["professor_name"].alias("name")))
+    return bind(F.array_sort(numbered), last_of_each)
 
-    return bind(F.reverse(named), once)
+
+def link_order(links: DataFrame, *before: str) -> DataFrame:
+    """Sort links by name without regard to case, then by address, for display or export; ``before`` columns come first."""
+    return links.orderBy(*before, F.lower("professor_name"), "professor_page_url")
 
 
 def absolute_url(href: Column, base_url: str) -> Column:
@@ -146,28 +153,27 @@ def page_ratings(
     page = F.col("page")
     links = link_array(page, base_url, href_regex)
     people = F.array_distinct(F.transform(links, lambda k: k["professor_name"]))
-    boxes = F.transform(
-        F.filter(page["nodes"], lambda n: n["tag"].isin(*BOXES)),
-        lambda n: F.struct(n.alias("node"), F.lower(_joined(page, n)).alias("text")),
-    )
-    outlined = with_outline(pages, html).select(*key, "page", boxes.alias("boxes"), people.alias("people"))
+    # What holds a name makes its enclosing containers hold it, so the first such container is an outermost one.
+    wanted = F.filter(page["nodes"], lambda n: n["tag"].isin(*BOXES) & (F.lit(True) if innermost else n["box"] == -1))
 
-    def size(b: Column) -> Column:
-        return b["node"]["stop"] - b["node"]["i"]
+    def box(n: Column) -> Column:
+        return bind(_below(page["nodes"], n), lambda inside: F.struct(
+            F.lower(_joined(page, n)).alias("text"), (n["stop"] - n["i"]).alias("size"),
+            figure(inside, "rating").alias("rating"), figure(inside, "difficulty").alias("difficulty")))
+
+    def figure(inside: Column, which: str) -> Column:
+        first = F.get(F.filter(inside, lambda n: (n["tag"] == "p") & (n["id"] == which)), F.lit(0))
+        return bind(first, lambda n: null_if(F.when(n.isNotNull(), F.array_join(_strings(page, n), ""))))
+
+    outlined = with_outline(pages, html).select(*key, F.transform(wanted, box).alias("boxes"), people.alias("people"))
 
     def figures(name: Column) -> Column:
         hits = F.filter("boxes", lambda b: F.contains(b["text"], F.lower(name)))
         if innermost:
-            smallest = F.array_min(F.transform(hits, size))
-            hits = F.filter(hits, lambda b: size(b) == smallest)
-
-        def figure(box: Column, which: str) -> Column:
-            inside = F.filter(page["nodes"], lambda n: (n["tag"] == "p") & (n["id"] == which) & _below(n, box))
-            first = F.get(inside, F.lit(0))
-            return null_if(F.when(first.isNotNull(), F.array_join(_strings(page, first), "")))
-
-        return bind(F.get(hits, F.lit(0))["node"], lambda box: F.struct(
-            name.alias("professor_name"), figure(box, "rating").alias("rating"), figure(box, "difficulty").alias("difficulty")))
+            smallest = F.array_min(F.transform(hits, lambda b: b["size"]))
+            hits = F.filter(hits, lambda b: b["size"] == smallest)
+        return bind(F.get(hits, F.lit(0)), lambda b: F.struct(
+            name.alias("professor_name"), b["rating"].alias("rating"), b["difficulty"].alias("difficulty")))
 
     # Only the small results leave the page's row.  An outer explode keeps its
     # filter above, which would parse each page a second time below.
@@ -204,10 +210,13 @@ def review_blocks(
     )
     outlined = with_outline(pages, html).withColumn("found", F.filter(boxes, is_review))
     if leaf_only:
+        # Containers stand in document order: one that encloses another is followed by it.
         outlined = outlined.withColumn(
-            "found", F.filter("found", lambda b: ~F.exists("found", lambda c: _below(c, b)))
+            "found", F.filter("found", lambda b, n: ~F.coalesce(F.get("found", n + 1)["i"] < b["stop"], F.lit(False)))
         )
-    blocks = F.array_distinct(F.transform("found", lambda b: b["lines"]))
+    # Lines hold no line break, and strings are told apart by hashes where arrays would be compared one by one.
+    texts = F.array_distinct(F.transform("found", lambda b: F.array_join(b["lines"], "\n")))
+    blocks = F.transform(texts, lambda t: F.split(t, "\n"))
     keep = [c for c in outlined.columns if c not in ("page", "found")]
     return outlined.select(*keep, F.posexplode(blocks).alias("position", "lines"))
 
@@ -225,34 +234,25 @@ def requirement_items(
     """
     page = F.col("page")
     nodes = page["nodes"]
-    heads = F.filter(nodes, lambda n: n["tag"].isin(*headings))
-
-    def items_after(h: Column) -> Column:
-        def until_next(siblings: Column) -> Column:
-            later = F.transform(F.filter(siblings, lambda n: n["tag"].isin(*headings)), lambda n: n["i"])
-            last = F.coalesce(F.array_min(later), F.lit(2**31 - 1))
-            return bind(last, lambda stop: F.filter(siblings, lambda n: n["tag"].isin("ul", "ol", "p") & (n["i"] < stop)))
-
-        def texts(n: Column) -> Column:
-            bullets = F.transform(
-                F.filter(nodes, lambda m: (m["tag"] == "li") & _below(m, n)), lambda m: _joined(page, m)
-            )
-            return F.when(n["tag"].isin("ul", "ol"), bullets).when(
-                n["tag"] == "p", F.array(_joined(page, n))
-            )
-
-        after = F.filter(nodes, lambda n: (n["parent"] == h["parent"]) & (n["i"] > h["i"]))
-        listed = bind(after, until_next)
-        return F.filter(F.flatten(F.transform(listed, texts)), lambda s: s != "")
-
-    groups = F.transform(
-        heads,
-        lambda h, n: F.struct(
-            (n + 1).alias("heading_index"),
-            _joined(page, h).alias("group_name"),
-            items_after(h).alias("items"),
-        ),
-    )
+    heads = F.transform(
+        F.filter(nodes, lambda n: n["tag"].isin(*headings)),
+        lambda h, n: F.struct(h["rank"].alias("rank"), h["rank_end"].alias("rank_end"), (n + 1).alias("heading_index"), h["at"].alias("at")))
+
+    def texts(n: Column) -> Column:
+        bullets = F.transform(F.filter(_below(nodes, n), lambda m: m["tag"] == "li"), lambda m: _joined(page, m))
+        return F.when(n["tag"].isin("ul", "ol"), bullets).when(n["tag"] == "p", F.array(_joined(page, n)))
+
+    def group(by_rank: Column, h: Column, n: Column) -> Column:
+        # The siblings behind a heading, up to the next heading among them.
+        stop = F.least(h["rank_end"], F.coalesce(F.get(by_rank, n + 1)["rank"], h["rank_end"]))
+        after = F.transform(F.slice(page["siblings"], h["rank"] + 2, stop - h["rank"] - 1), lambda k: F.get(nodes, k))
+        listed = F.filter(after, lambda m: m["tag"].isin("ul", "ol", "p"))
+        return F.struct(
+            h["heading_index"].alias("heading_index"), _joined(page, F.get(nodes, h["at"])).alias("group_name"),
+            F.filter(F.flatten(F.transform(listed, texts)), lambda s: s != "").alias("items"))
+
+    grouped = bind(F.array_sort(heads), lambda by_rank: F.transform(by_rank, lambda h, n: group(by_rank, h, n)))
+    groups = F.array_sort(grouped)  # back in document order
     rules = F.flatten(
         F.transform(
             F.filter(groups, lambda g: g["group_name"] != ""),

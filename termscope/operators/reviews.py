@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from termscope import defaults as D
 from termscope.functions.text import (
+    begins_with,
     clean_text,
-    contains_any,
     normalize_name,
     sentences,
     sentiment,
     sentiment_label,
-    term_count,
+    term_counts,
+    term_starts,
 )
 from termscope.operators.upsert import dedupe
 
@@ -178,16 +179,19 @@ def aspects(
     assignment_terms: Sequence[str] = D.ASSIGNMENT_TERMS,
 ) -> DataFrame:
     """One row per review and mentioned aspect, with the matching sentences' score."""
-    pairs = F.transform(
-        sentences(F.col("full_review_text")),
-        lambda s: F.struct(s.alias("s"), F.lower(s).alias("low")),
-    )
+    terms = [t for name in keywords for t in keywords[name]]
+
+    def marked(s: Column) -> Column:
+        return F.struct(s.alias("s"), term_starts(F.lower(s), terms).alias("starts"))
+
     keep = [c for c in reviews.columns if c != "full_review_text"]
-    split = reviews.select(*keep, pairs.alias("pairs"))
+    split = reviews.select(*keep, F.transform(sentences(F.col("full_review_text")), marked).alias("pairs"))
 
     def found(name: str) -> Column:
-        hits = F.filter("pairs", lambda p: contains_any(p["low"], keywords[name]))
-        return F.struct(F.lit(name).alias("aspect_name"), F.transform(hits, lambda p: p["s"]).alias("hits"))
+        def hit(p: Column) -> Column:
+            return F.exists(p["starts"], lambda t: begins_with(t, keywords[name], terms))
+
+        return F.struct(F.lit(name).alias("aspect_name"), F.transform(F.filter("pairs", hit), lambda p: p["s"]).alias("hits"))
 
     rows = split.select(*keep, F.explode(F.array(*[found(a) for a in keywords])).alias("a"))
     text = mentioned(
@@ -199,13 +203,12 @@ def aspects(
         )
     )
     scored = text.withColumn("sentiment_score", sentiment(F.col("supporting_text"), positive, negative))
-    support = F.col("supporting_text")
-    return scored.select(
-        "*",
+    names = ("exam_mentions", "project_mentions", "assignment_mentions")
+    counts = F.array(*term_counts(F.col("supporting_text"), (exam_terms, project_terms, assignment_terms)))
+    return scored.withColumn("counts", counts).select(
+        *scored.columns,
         sentiment_label(F.col("sentiment_score")).alias("sentiment_label"),
-        term_count(support, exam_terms).alias("exam_mentions"),
-        term_count(support, project_terms).alias("project_mentions"),
-        term_count(support, assignment_terms).alias("assignment_mentions"),
+        *[F.col("counts")[k].alias(name) for k, name in enumerate(names)],
     )
 
 

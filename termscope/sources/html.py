@@ -28,32 +28,42 @@ OUTLINE_TAGS = (
 )
 
 # texts: visible strings in document order, stripped, blanks dropped.
-# nodes: elements in document order; the subtree of a node is every i in
-# [i, stop) and its texts are texts[t0:t1].
+# nodes: elements of the tags above in document order.  i, stop and parent count all
+# elements; the places at (a node's own), end, box and head count nodes, from 0:
+# the nodes below one are nodes[at + 1 : end], box is the nearest enclosing
+# container and head the first h1-h4 below, -1 where there is none.  Its texts are
+# texts[t0:t1].  siblings has the nodes' places by parent; a node stands there at
+# rank, and its parent's last child before rank_end.
 OUTLINE = """struct<
     texts: array<struct<s: string, noscript: boolean>>,
     nodes: array<struct<i: int, stop: int, parent: int, tag: string, href: string,
-                        id: string, t0: int, t1: int>>,
+                        id: string, t0: int, t1: int,
+                        at: int, end: int, box: int, head: int, rank: int, rank_end: int>>,
+    siblings: array<int>,
     error: string>"""
+BOXES = ("li", "div", "article", "section")
+_PLACES = ("at", "end", "box", "head", "rank", "rank_end")
 _NODE = pa.struct(
     [
         ("i", pa.int32()), ("stop", pa.int32()), ("parent", pa.int32()), ("tag", pa.string()),
         ("href", pa.string()), ("id", pa.string()), ("t0", pa.int32()), ("t1", pa.int32()),
+        *[(name, pa.int32()) for name in _PLACES],
     ]
 )
 _TEXT = pa.struct([("s", pa.string()), ("noscript", pa.bool_())])
 _OUTLINE = pa.struct(
-    [("texts", pa.list_(_TEXT)), ("nodes", pa.list_(_NODE)), ("error", pa.string())]
+    [("texts", pa.list_(_TEXT)), ("nodes", pa.list_(_NODE)), ("siblings", pa.list_(pa.int32())), ("error", pa.string())]
 )
 
 
 class _Outline(HTMLParser):
-    """Collects texts and nodes; an end tag closes the nearest open namesake."""
+    """Collects texts and nodes in one pass; an end tag closes the nearest open namesake."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.texts, self.nodes, self.buffer, self.count = [], [], [], 0
         self.open, self.names = [], Counter()
+        self.boxes, self.headless = [], []  # open containers, and those of them without a heading so far
 
     def flush(self):
         text = "".join(self.buffer).strip()
@@ -79,11 +89,23 @@ class _Outline(HTMLParser):
         }
         self.count += 1
         if tag in OUTLINE_TAGS:
-            self.nodes.append(node)
+            self.place(node, tag)
         if tag not in VOID:
             self.open.append(node)
             self.names[tag] += 1
 
+    def place(self, node, tag):
+        at = len(self.nodes)
+        node |= {"at": at, "end": at + 1, "box": self.boxes[-1]["at"] if self.boxes else -1, "head": -1, "rank": -1, "rank_end": -1}
+        self.nodes.append(node)
+        if tag in ("h1", "h2", "h3", "h4"):
+            for box in self.headless:
+                box["head"] = at
+            self.headless.clear()
+        if tag in BOXES:
+            self.boxes.append(node)
+            self.headless.append(node)
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -99,6 +121,11 @@ class _Outline(HTMLParser):
         node = self.open.pop()
         self.names[node["tag"]] -= 1
         node["stop"], node["t1"] = self.count, len(self.texts)
+        if "at" in node:
+            node["end"] = len(self.nodes)
+        for stack in (self.boxes, self.headless):
+            if stack and stack[-1] is node:
+                stack.pop()
         return node["tag"]
 
     def handle_comment(self, data):
@@ -112,6 +139,17 @@ class _Outline(HTMLParser):
         while self.open:
             self.close_last()
 
+    def siblings(self):
+        order = sorted(range(len(self.nodes)), key=lambda k: self.nodes[k]["parent"])  # keeps document order
+        first = 0
+        for rank, k in enumerate(order):
+            self.nodes[k]["rank"] = rank
+            if rank + 1 == len(order) or self.nodes[order[rank + 1]]["parent"] != self.nodes[k]["parent"]:
+                for other in order[first : rank + 1]:
+                    self.nodes[other]["rank_end"] = rank + 1
+                first = rank + 1
+        return order
+
 
 def _outline(html: str | None) -> dict | None:
     if not html:
@@ -121,8 +159,8 @@ def _outline(html: str | None) -> dict | None:
         page.feed(html)
         page.finish()
     except Exception as exc:  # a page that cannot be read is reported, not fatal
-        return {"texts": [], "nodes": [], "error": f"{type(exc).__name__}: {exc}"}
-    return {"texts": page.texts, "nodes": page.nodes, "error": None}
+        return {"texts": [], "nodes": [], "siblings": [], "error": f"{type(exc).__name__}: {exc}"}
+    return {"texts": page.texts, "nodes": page.nodes, "siblings": page.siblings(), "error": None}
 
 
 def _outline_batch(html: pa.Array) -> pa.Array:

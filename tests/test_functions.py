@@ -1,6 +1,7 @@
 """Column functions against hand-computed values."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,12 +44,47 @@ def test_labels_at_the_cutoffs(spark):
 def test_sentences_terms_codes(spark):
     assert run(spark, ["One.  Two! \n Three? four.five", None], "string", T.sentences) == [
         ["One.", "Two!", "Three?", "four.five"], []]
-    count = lambda c: T.term_count(c, ("exam", "exams", "final", "paper", "papers"))
+    count = lambda c: T.term_counts(c, [("exam", "exams", "final", "paper", "papers")])[0]
     assert run(spark, ["Exams", "finally", "papers", None], "string", count) == [2, 1, 2, 0]
     codes = run(spark, ["cs 1110 or MATH  2310, ABCDEF 1000 CS 12345"], "string", T.course_codes)[0]
     assert [(c.subject_id, c.catalog_nbr) for c in codes] == [("CS", 1110), ("MATH", 2310)]
 
 
+def test_one_scan_counts_like_one_search_per_term(spark):
+    draw = random.Random(11)
+    terms = [["an", "ana", "na", "nan"], ["aa", "a", "b.c", "é", "an"], ["zz"]]
+    texts = ["".join(draw.choice("an.bcéz ") for _ in range(draw.randrange(30))) for _ in range(300)] + ["", "ANANA"]
+    found = run(spark, texts, "string", lambda c: F.array(*T.term_counts(c, terms)))
+    assert [list(f) for f in found] == [[sum(t.lower().count(x) for x in group) for group in terms] for t in texts]
+    every = [x for group in terms for x in group]
+    starts = run(spark, texts, "string", lambda c: T.term_starts(c, every))
+    for text, begins in zip(texts, starts, strict=True):
+        want = [max((x for x in every if text.startswith(x, k)), key=len) for k in range(len(text)) if any(text.startswith(x, k) for x in every)]
+        assert list(begins) == want
+    for group in terms:
+        got = run(spark, texts, "string", lambda c, g=group: F.exists(T.term_starts(c, every), lambda t: T.begins_with(t, g, every)))
+        assert got == [any(x in t for x in group) for t in texts]
+
+
+def test_clean_text_equals_the_plain_rule(spark):
+    draw = random.Random(13)
+    spaces = [chr(c) for c in (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+    texts = ["".join(draw.choice([*spaces, " ", " ", "a", ".", "!", "\u200b", "\x1b"]) for _ in range(draw.randrange(25))) for _ in range(400)]
+    plain = F.trim  # the rule: every run of white space is one blank, none at the ends
+    got = run(spark, texts, "string", T.clean_text)
+    assert got == run(spark, texts, "string", lambda c: plain(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " ")))
+    assert run(spark, [None], "string", T.clean_text) == [""]
+
+
+def test_vocabulary_words_equal_filtered_tokens(spark):
+    draw = random.Random(12)
+    words = ["the", "then", "they're", "a", "an", "É", "x-y", "'tis"]
+    texts = ["".join(draw.choice(["the", "n", "y", "'re", " ", "-", "A", "'tis", "é", "1"]) for _ in range(12)) for _ in range(300)] + ["", None]
+    got = run(spark, texts, "string", lambda c: T.vocabulary_words(c, words))
+    want = run(spark, texts, "string", lambda c: F.filter(T.tokens(c), lambda w: w.isin(*words)))
+    assert got == want and run(spark, ["the"], "string", lambda c: T.vocabulary_words(c, [])) == [[]]
+
+
 def test_codes(spark):
     assert run(spark, ["3", "3.0", "1 - 4", "", None], "string", C.digits_to_int) == [3, None, None, None, None]
     assert run(spark, ["1262", "1266", "1268", "1261"], "string", C.season) == ["spring", "summer", "fall", "other"]

@@ -1,5 +1,6 @@
 """Page extraction, review parsing, aspects and requirements."""
 
+import random
 import time
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from termscope.operators import extract as X
 from termscope.operators import requirements as Q
 from termscope.operators import reviews as R
+from termscope.sources import html as H
 
 SITE = "https://site.example"
 PAGE = """<html><body><div><ul>
@@ -40,6 +42,62 @@ def test_large_pages_are_parsed_once_and_in_time(spark):
         assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
 
 
+def random_html(draw, n):
+    tags = ["div", "li", "ul", "p", "h2", "h3", "a", "b", "section", "span", "br"]
+    out = []
+    for _ in range(n):
+        tag = draw.choice(tags)
+        out.append(draw.choice([f"<{tag}>", f"<{tag} id='rating'>", f"</{tag}>", "text ", "<br/>"]))
+    return "".join(out)
+
+
+def test_places_of_nodes_equal_their_definitions():
+    draw = random.Random(6)
+    for _ in range(200):
+        page = H._outline(random_html(draw, 60) + "x")
+        nodes = page["nodes"]
+        for k, n in enumerate(nodes):
+            below = [j for j, m in enumerate(nodes) if n["i"] < m["i"] < n["stop"]]
+            assert n["at"] == k and list(range(k + 1, n["end"])) == below
+            around = [j for j, m in enumerate(nodes) if m["tag"] in H.BOXES and m["i"] < n["i"] < m["stop"]]
+            assert n["box"] == (around[-1] if around else -1)
+            if n["tag"] in H.BOXES:
+                assert n["head"] == next((j for j in below if nodes[j]["tag"] in ("h1", "h2", "h3", "h4")), -1)
+            own = [j for j, m in enumerate(nodes) if m["parent"] == n["parent"]]
+            assert page["siblings"][n["rank"] : n["rank_end"]] == [j for j in own if j >= k]
+
+
+def large_page(n):
+    """A page of about ``n`` nodes that all extractions find something in."""
+    rows = "".join(
+        f'<li><h3>Person {k}</h3><a href="/course/9/{k}"><img></a></li>' if k % 2 else
+        f"<h2>g{k}</h2><ul><li>CS {k}</li></ul><p>t{k}</p>" for k in range(n // 4))
+    reviews = "".join(f"<div>Spring 2024<br>Updated 9/1/24<br>Good {k}<br>3.5</div>" for k in range(n // 8))
+    return f"<div><ul>{rows}</ul></div><section>{reviews}</section>"
+
+
+def test_cost_grows_with_the_page(spark):
+    """Twice the nodes cost about twice the time, not four times."""
+    def seconds(n, run):
+        page = spark.createDataFrame([(1, large_page(n))], "course_id int, raw_html string")
+        best = 1e9
+        for _ in range(3):
+            started = time.monotonic()
+            run(page).write.format("noop").mode("overwrite").save()
+            best = min(best, time.monotonic() - started)
+        return best
+
+    for run in (lambda d: X.page_links(d, SITE), X.review_blocks, X.requirement_items):
+        assert seconds(20_000, run) <= 2.2 * seconds(10_000, run) + 0.2
+
+
+def test_link_order(spark):
+    links = X.link_order(X.page_links(frame(spark, PAGE), SITE), "course_id")
+    assert [r.professor_name for r in links.collect()] == ["Bob Ray", "Jane D."]
+    rows = spark.createDataFrame([(1, "b", "2"), (1, "B", "1"), (0, "c", "0"), (1, "a", "3")], "course_id int, professor_name string, professor_page_url string")
+    assert [tuple(r) for r in X.link_order(rows).collect()] == [(1, "a", "3"), (1, "B", "1"), (1, "b", "2"), (0, "c", "0")]
+
+
 def test_links(spark):
     got = {(r.professor_name, r.professor_page_url) for r in X.page_links(frame(spark, PAGE), SITE).collect()}
     assert got == {("Jane D.", f"{SITE}/course/1/2"), ("Bob Ray", f"{SITE}/course/1/3/")}
