@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termscope import defaults as D
+from termscope.session import materialize
 
 THRESHOLDS = tuple(i / 100 for i in range(30, 71))
 BLANK_THRESHOLD = 0.50
@@ -73,7 +74,8 @@ def roc_auc(df: DataFrame, y: str, p: str, chunks: int = 256) -> DataFrame:
     scores = df.groupBy(F.col(p).cast("double").alias("score")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
     )
-    ranked = running_total(scores, "score", "neg", chunks)
+    # Read for the cuts, for the chunks' totals and for the ranks.
+    ranked = running_total(materialize(scores), "score", "neg", chunks)
     wins = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return ranked.agg(F.when(pairs > 0, wins / pairs).otherwise(F.lit(math.nan)).alias("roc_auc"))
@@ -162,22 +164,72 @@ def apply_scaler(df: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataF
     )
 
 
-def median(df: DataFrame, column: str, chunks: int = 256) -> float | None:
-    """Exact median: equal values are counted, then the middle ranks looked up."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(
-        F.count("*").alias("n")
-    )
-    total = counts.agg(F.sum("n")).first()[0]
-    if not total:
-        return None
-    ranked = running_total(counts, "v", "n", chunks)
-    at = [(total - 1) // 2, total // 2]
-    held = [
-        F.max(F.when((F.col("below") <= r) & (F.col("below") + F.col("n") > r), F.col("v"))) for r in at
-    ]
-    return ranked.agg(((held[0] + held[1]) / 2).alias("m")).first()["m"]
+ACCURACY = 10_000  # of the approximate quantiles that fence the median in
+
+
+def _fences(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float]]:
+    """Per column with values: how many, and two values between which the median lies, by one aggregate for all."""
+    edge = 3 / ACCURACY
+    found = df.agg(*[
+        F.struct(F.count(f"`{c}`"), F.percentile_approx(F.col(f"`{c}`").cast("double"), [0.5 - edge, 0.5 + edge], ACCURACY)).alias(f"c{k}")
+        for k, c in enumerate(columns)]).first()
+    return {c: (n, *fences) for c, (n, fences) in zip(columns, found, strict=True) if n}
+
+
+def _counts_between(df: DataFrame, fences: dict[str, tuple[int, float, float]]) -> DataFrame:
+    """(column, v, n): equal values between the fences, and as a null value all that are below."""
+    def kept(k: int, c: str, low: float, high: float) -> Column:
+        v = F.col(f"`{c}`").cast("double")
+        return F.when(v <= high, F.struct(F.lit(k).alias("column"), F.when(v >= low, v).alias("v")))
+
+    each = F.array_compact(F.array(*[kept(k, c, low, high) for k, (c, (_, low, high)) in enumerate(fences.items())]))
+    return df.select(F.explode(each).alias("x")).groupBy("x.column", "x.v").agg(F.count("*").alias("n"))
+
+
+def _at_ranks(counts: DataFrame, ranks: Sequence[tuple[int, int]]) -> dict[int, tuple[float | None, float | None]]:
+    """Per column the values at two ranks, from 0; ranges of (column, v) with what earlier ranges hold, so no task sorts a column."""
+    dealt = materialize(counts.repartitionByRange("column", "v").withColumn("chunk", F.spark_partition_id()))
+    # As many rows as there are ranges and columns.
+    earlier = Window.partitionBy("column").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = dealt.groupBy("column", "chunk").agg(F.sum("n").alias("n")).select(
+        "column", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("column", "chunk").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    placed = dealt.join(before, ["column", "chunk"]).withColumn("below", below)
+
+    def at(which: int) -> Column:
+        rank = F.element_at(F.array(*[F.lit(r[which]) for r in ranks]), F.col("column") + 1)
+        return F.max(F.when((F.col("below") <= rank) & (F.col("below") + F.col("n") > rank), F.col("v")))
+
+    rows = placed.groupBy("column").agg(at(0).alias("low"), at(1).alias("high")).collect()  # a row per column
+    return {r["column"]: (r["low"], r["high"]) for r in rows}
 
 
 def medians(df: DataFrame, columns: Iterable[str]) -> dict[str, float | None]:
-    """Exact median of every column, nulls left out."""
-    return {c: median(df, c) for c in columns}
+    """Exact median of every column, nulls left out; None for a column without values.
+
+    The rows are read twice for all columns together: once for fences around the
+    medians, once to count the values between them.  What is sorted are these values
+    alone, some thousandths of all, each once.  Fences that should miss a median are
+    noticed by its rank, and that column is counted whole.
+    """
+    columns = list(columns)
+    out = dict.fromkeys(columns)
+    fences = _fences(df, columns) if columns else {}
+    while fences:
+        ranks = [((n - 1) // 2, n // 2) for n, _, _ in fences.values()]
+        found = _at_ranks(_counts_between(df, fences), ranks)
+        missed = {}
+        for k, (c, (n, low, high)) in enumerate(fences.items()):
+            middle = found.get(k, (None, None))
+            if None in middle and (low, high) != (-math.inf, math.inf):
+                missed[c] = (n, -math.inf, math.inf)
+            elif None not in middle:
+                out[c] = sum(middle) / 2
+        fences = missed
+    return out
+
+
+def median(df: DataFrame, column: str) -> float | None:
+    """Exact median of one column."""
+    return medians(df, [column])[column]

@@ -176,6 +176,22 @@ def test_medians(spark):
     assert X.medians(df, ["a", "b"]) == {"a": pytest.approx(float(np.nanmedian([np.nan if v is None else v for v in values]))), "b": None}
 
 
+def test_medians_of_any_shape_and_missed_fences(spark, monkeypatch):
+    rnd = random.Random(5)
+    shapes = {
+        "even": [1.0, 2.0, 3.0, 10.0], "one": [7.5], "ties": [3.0] * 50 + [1.0, 9.0], "two": [0.0] * 20 + [1.0] * 20,
+        "neg": [-rnd.random() for _ in range(101)], "wide": [rnd.choice([1e-300, 1e300, -1e300, 0.0]) for _ in range(60)], "none": []}
+    n = max(map(len, shapes.values()))
+    rows = [tuple(v[k] if k < len(v) else None for v in shapes.values()) for k in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in shapes)).repartition(3)
+    want = {c: float(np.median(v)) if v else None for c, v in shapes.items()}
+    assert X.medians(df, shapes) == want
+    whole = X._fences(df, list(shapes))
+    monkeypatch.setattr(X, "_fences", lambda *_: {c: (n, -5.5, -5.4) for c, (n, _, _) in whole.items()})
+    assert X.medians(df, shapes) == want
+    assert X.median(df.limit(0), "one") is None and X.medians(df, []) == {}
+
+
 def test_split_scaler_dummies(spark):
     df = spark.createDataFrame(
         [("1", "a", 1.0, 5.0), ("1", None, 3.0, 5.0), ("2", "a", 9.0, 1.0), ("3", "b", 2.0, 7.0)],
