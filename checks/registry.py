@@ -7,10 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks import dashboard, features, loading, models, pages, reviews
+from checks import dashboard, features, loading, models, pages, plans, reviews
 from termscope.session import local_scratch, tune
 
-MODULES = (features, reviews, dashboard, loading, pages, models)
+MODULES = (features, reviews, dashboard, loading, pages, models, plans)
 
 
 def _tuned(run: Callable) -> Callable[[SparkSession, str], DataFrame]:
