@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termscope.llm.blocks import block_count, in_blocks, texts
-from termscope.llm.columns import fresh
 
 VOCABULARY = 256
 _SLICE = 1 << 21
@@ -78,9 +77,10 @@ _SCORES = pa.schema([
     ("score", pa.float64())])
 
 
-def _count(docs: pa.Table) -> pa.Table:
+def _count(docs: pa.Table, targets: pa.Table) -> pa.Table:
+    chosen = set(targets.column("target_id").to_pylist())
     found = []
-    rows = ((flag, t.encode()) for flag, t in zip(docs.column("target").to_pylist(), texts(docs), strict=True))
+    rows = ((i in chosen and i is not None, t.encode()) for i, t in zip(docs.column("id").to_pylist(), texts(docs), strict=True))
     for some in _slices(rows):
         for is_target in (False, True):
             keys, n = np.unique(packed([t for flag, t in some if flag == is_target])[0], return_counts=True)
@@ -129,11 +129,12 @@ def cross_entropy_difference(
 ) -> DataFrame:
     """One row per document: id, n_tokens (bytes), loss_target, loss_background (nats a token), score."""
     n = block_count(docs, text_col)
-    flag = fresh(docs.columns, "_is_target")
-    ids = targets.select(F.col(id_col).cast("long").alias(id_col), F.lit(True).alias(flag)).where(f"{id_col} is not null").distinct()
-    marked = docs.select(F.col(id_col).cast("long").alias(id_col), text_col).join(ids, id_col, "left")
-    rows = in_blocks(marked, n, id_col, text_col, F.coalesce(flag, F.lit(False)).alias("target"))
-    counts = rows.groupBy("block").applyInArrow(_count, "block int, gram long, background long, target long")
+    rows = in_blocks(docs, n, id_col, text_col)
+    ids = targets.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
+    # The blocks that hold a target, found on narrow rows: an id may have rows in several.
+    ids = rows.select("block", "id").distinct().join(ids, "id").select(F.col("block").alias("of_block"), F.col("id").alias("target_id"))
+    counts = rows.groupBy("block").cogroup(ids.groupBy("of_block")).applyInArrow(
+        _count, "block int, gram long, background long, target long")
     same = Window.partitionBy("gram")
     totals = counts.select(
         "block", "gram", F.sum("background").over(same).alias("background"), F.sum("target").over(same).alias("target"))
