@@ -43,7 +43,7 @@ from termscope.session import materialize
 TOKENS = "tokens"
 PARTS = "parts"
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, tokens array<int>"
-_CACHE_ENTRIES = 500_000  # per generation
+_CACHE_ENTRIES = 250_000  # per generation
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ӿ"  # scripts with the fast path; others go up to the next blank
 _RUN = re.compile(rf" ?[{_LETTERS}]+|\s*\S+|\s+")
 _ODD_BLANKS = ("\x1c", "\x1d", "\x1e", "\x1f", "\u180e")
@@ -114,11 +114,11 @@ class Encoder:
         return [self.whole([t])[0] if runs is None else b"".join(some) for t, runs, some in zip(texts, split, found, strict=True)]
 
 
-def text_order(text: str) -> tuple[int, int]:
-    """What rows that agree in id are ordered by: Spark's xxhash64 of the text, and its length."""
+def text_order(text: str) -> int:
+    """What rows that agree in id are ordered by: Spark's xxhash64 of the text."""
     import xxhash
 
-    return np.array(xxhash.xxh64_intdigest(text, seed=42), np.uint64).astype(np.int64).item(), len(text)
+    return np.array(xxhash.xxh64_intdigest(text, seed=42), np.uint64).astype(np.int64).item()
 
 
 def _gaps(found: list[bytes | None]) -> list[int]:
@@ -237,7 +237,7 @@ def write_tokens(
     """Encode ``text_col`` of all rows into the token folder ``path``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # The texts' hashes let range borders fall inside an id that many rows have.
-    order = ["doc_id", F.xxhash64("text"), F.length("text")]
+    order = ["doc_id", F.xxhash64("text")]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     store, root = fs.FileSystem.from_uri(f"{path}/{TOKENS}")
     store.create_dir(root, recursive=True)
