@@ -1,6 +1,8 @@
 """Substring dedup: runs of consecutive sentences that occur before, in any document, are removed.
 
-A run has at least ``min_sentences`` sentences and ``min_words`` words.  The shortest
+A sentence ends behind ``.``, ``!`` or ``?`` and a blank, at a line break, or with its
+``longest``-th word, so that unpunctuated text has sentences as well.  A run has at
+least ``min_sentences`` sentences and ``min_words`` words.  The shortest
 runs from every sentence on and up to every sentence are hashed (96 bits over their
 words).  They stand for all runs that repeat in the same sentences: with a run its
 parts occur before, too, and each of its sentences is in the shortest run from there
@@ -41,12 +43,20 @@ _LAST = (1 << 63) - 1  # order of rows without id
 class Settings:
     min_sentences: int = 2
     min_words: int = 25
+    longest: int = 40  # words of a sentence
 
 
-def sentences(text: str) -> list[str]:
+def sentences(text: str, longest: int = Settings.longest) -> list[str]:
     """The text in pieces: each sentence with the blanks behind it."""
     cuts = [0, *(m.end() for m in _CUT.finditer(text)), len(text)]
-    return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
+    out = []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b - a > 2 * longest:  # so many words need so many characters
+            starts = [m.start() for m in WORD.finditer(text, a, b)][longest::longest]
+            out += [text[x:y] for x, y in zip([a, *starts], [*starts, b], strict=True)]
+        elif b > a:
+            out.append(text[a:b])
+    return out
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -75,7 +85,7 @@ class Runs:
 
 
 def runs(text: str, settings: Settings = Settings()) -> Runs:
-    pieces = sentences(text)
+    pieces = sentences(text, settings.longest)
     worded = [WORD.findall(p.lower()) for p in pieces]
     size = np.fromiter(map(len, worded), np.int64, len(worded))
     at = np.flatnonzero(size)  # sentences with words

@@ -165,7 +165,7 @@ def brute_clean(rows, settings):
     """Removed sentences by comparing all runs of every length."""
     first, docs = {}, []
     for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        pieces = spans.sentences(t or "")
+        pieces = spans.sentences(t or "", settings.longest)
         worded = [tuple(spans.WORD.findall(p.lower())) for p in pieces]
         at = [k for k, w in enumerate(worded) if w]
         found = []
@@ -210,6 +210,21 @@ def test_spans_of_edges(spark):
     assert spans.without_repeats(table(spark, [])).collect() == []
 
 
+def test_long_sentences_are_cut(spark):
+    draw = random.Random(2)
+    for n in (1, 39, 40, 41, 80, 81, 500):
+        text = "".join(f"w{k}" + draw.choice([" ", ", ", "  ", "-"]) for k in range(n))
+        pieces = spans.sentences("Start here. " + text)
+        assert "".join(pieces) == "Start here. " + text
+        sizes = [len(spans.WORD.findall(p)) for p in pieces[1:]]
+        assert sum(sizes) == n and all(x == 40 for x in sizes[:-1]) and 0 < sizes[-1] <= 40
+    own = " ".join(words(50, 60))
+    rows = [(1, f"Some text first. {own}. And more."), (2, f"Other words then. {own}. Not the same."), (3, "Short. " + " ".join(words(90, 38)) + "."),
+            (4, "Brief. " + " ".join(words(90, 38)) + ".")]
+    got = {r.doc_id: r for r in spans.without_repeats(table(spark, rows)).collect()}
+    assert [got[k].n_words_removed for k in (1, 2, 3, 4)] == [0, 60, 0, 0]
+
+
 def test_spans_keep_no_tail(spark):
     draw = random.Random(4)
     fresh = iter(range(10**6))
@@ -223,4 +238,4 @@ def test_spans_keep_no_tail(spark):
     got = {r.doc_id: r.removed for r in spans.without_repeats(table(spark, rows), settings).collect()}
     assert got == want
     second = len(passages)
-    assert [got[second + k] for k in range(5)] == [[1, 2, 3], [1, 2], [1, 2, 3, 4], [1, 2, 3], []]
+    assert [got[second + k] for k in range(5)] == [[1, 2, 3], [1, 2, 3], [1, 2, 3, 4, 5], [1, 2, 3], []]
