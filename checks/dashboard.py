@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from checks import bindings as B
-from checks.sql import query
+from checks.sql import query, term_of
 from checks.tidy import big, dbl, tidy
 from termscope.operators import dashboard as W
+from termscope.session import scratch_dir
+from termscope.sources import terms as T
 
 TERM = "1068"
 SEARCH = "r_ng"
@@ -23,6 +27,24 @@ def dashboard_term_search(spark, sf_dir):
     return tidy(_rows(spark, sf_dir, TERM, SEARCH))
 
 
+def dashboard_by_term(spark, sf_dir):
+    """The same from sections and links that are stored by term: one folder of each is read."""
+    tables = B.tables(spark, sf_dir)
+    for name in ("section", "section_professor"):
+        path, schema = scratch_dir(spark), tables[name].schema
+        T.store_by_term(tables[name], path)
+        tables[name] = T.read_terms(spark, path, schema, [TERM]).select(*schema.names)
+    return tidy(W.dashboard(tables, TERM, SEARCH))
+
+
+def stored_term_bounds(spark, sf_dir):
+    """First and last term of the stored sections, from the folders, and the rows of both."""
+    path, section = scratch_dir(spark), B.section(spark, sf_dir)
+    T.store_by_term(section, path)
+    both = T.read_terms(spark, path, section.schema, T.two_stored_terms(spark, path))
+    return tidy(both.groupBy("term_id").agg(F.count("*").alias("rows")))
+
+
 def dashboard_counts(spark, sf_dir):
     return tidy(W.dashboard_counts(_rows(spark, sf_dir), "term_id"))
 
@@ -34,6 +56,8 @@ def available_terms(spark, sf_dir):
 QUERIES = {
     "dashboard_rows": dashboard_rows,
     "dashboard_term_search": dashboard_term_search,
+    "dashboard_by_term": dashboard_by_term,
+    "stored_term_bounds": stored_term_bounds,
     "dashboard_counts": dashboard_counts,
     "available_terms": available_terms,
 }
@@ -83,3 +107,7 @@ ORACLES = {
                    || ' 20' || substr(term_id, 2, 2) AS label
         FROM (SELECT DISTINCT term_id FROM section UNION SELECT '1262')"""),
 }
+ORACLES["dashboard_by_term"] = ORACLES["dashboard_term_search"]
+ORACLES["stored_term_bounds"] = """
+    SELECT term_id, count(*) AS rows FROM (SELECT DISTINCT {t} AS term_id, l_partkey, l_suppkey FROM lineitem)
+    WHERE term_id IN (SELECT min({t}) FROM lineitem UNION SELECT max({t}) FROM lineitem) GROUP BY term_id""".format(t=term_of("l_shipdate"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from termscope.operators import upsert as U
 from termscope.sources import published as P
+from termscope.sources import terms as T
 from termscope.sources.keyed import KeyedTable
 from termscope.streaming import ingest as ST
 
@@ -171,3 +172,22 @@ def test_a_refresh_is_whole_or_not_there(spark, tmp_path):
     P.refresh(spark, path, source("three"), parents)
     assert seen()["section"] == ("three", 1) and reading.first().v == "one"
     assert len(list((tmp_path / "p" / "sets").iterdir())) == 2
+
+
+def test_a_term_is_read_from_its_folder(spark, tmp_path):
+    path, schema = str(tmp_path / "section"), "n int, term_id string"
+    rows = [(k, str(1250 + 2 * (k % 5))) for k in range(100)]
+    T.store_by_term(spark.createDataFrame(rows, schema), path)
+    for f in Path(path).rglob("*.parquet"):
+        if "term_id=1254" not in str(f) and "term_id=1256" not in str(f):
+            f.write_bytes(b"unreadable")  # a read of any other term would fail
+    assert T.two_stored_terms(spark, path) == ("1250", "1258")
+    some = T.read_terms(spark, path, schema, ["1254", "1256"])
+    assert rows_of(some) == sorted(((k, t) for k, t in rows if t in ("1254", "1256")), key=str)
+    board = some.where(F.col("term_id") == "1254").groupBy("term_id").count()
+    assert rows_of(board) == [("1254", 20)]
+    T.store_by_term(spark.createDataFrame([(1, "1250"), (7, "1250")], schema), path)
+    assert rows_of(T.read_terms(spark, path, schema, ["1250"])) == [(1, "1250"), (7, "1250")]
+    assert T.stored_terms(spark, path) == ["1250", "1252", "1254", "1256", "1258"]
+    with pytest.raises(ValueError):
+        T.two_stored_terms(spark, str(tmp_path / "nothing"))
