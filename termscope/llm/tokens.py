@@ -43,7 +43,8 @@ from termscope.session import materialize
 TOKENS = "tokens"
 PARTS = "parts"
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, tokens array<int>"
-_CACHE_ENTRIES = 250_000  # per generation
+_CACHE_ENTRIES = 350_000  # per generation
+_HOT_ID = 100  # rows of one id from which its rows may go to several files
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ӿ"  # scripts with the fast path; others go up to the next blank
 _RUN = re.compile(rf" ?[{_LETTERS}]+|\s*\S+|\s+")
 _ODD_BLANKS = ("\x1c", "\x1d", "\x1e", "\x1f", "\u180e")
@@ -236,9 +237,10 @@ def write_tokens(
 ) -> None:
     """Encode ``text_col`` of all rows into the token folder ``path``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # The texts' hashes let range borders fall inside an id that many rows have.
     order = ["doc_id", F.xxhash64("text")]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Borders inside an id need the texts' hashes, which costs one more reading of the texts.
+    most = rows.groupBy("doc_id").count().agg(F.max("count")).first()[0] or 0
+    dealt = rows.repartitionByRange(*(order if most > _HOT_ID else order[:1])).sortWithinPartitions(*order)
     store, root = fs.FileSystem.from_uri(f"{path}/{TOKENS}")
     store.create_dir(root, recursive=True)
     written = materialize(dealt.mapInArrow(_encode(path, tokenizer, end_id, layout), "part int, n_rows long, n_ids long"))
