@@ -14,8 +14,9 @@ over the documents, and a larger one in several passes, so that no task or broad
 holds more than a block.  Documents never cross the network.
 
 Defined results: a null text counts as empty and is clean, items without words
-are never found, repeated items and documents are compared one by one;
-extra columns are not read.
+are never found, repeated items and documents are compared one by one; long texts are read
+whole; empty tables give clean documents or no rows; extra columns are carried along, and
+helper columns take free names.
 """
 
 from __future__ import annotations

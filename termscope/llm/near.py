@@ -16,7 +16,8 @@
 Defined results: a text with fewer than five words has one n-gram, the whole;
 a text without words, or null, links to nothing; rows that agree in id and text are
 copies of each other; a null id is never the name of a class if the
-class has another; extra columns are not read.
+class has another; long texts are read whole, and hot n-grams are not joined on; an empty table gives
+no rows; extra columns are carried along by ``one_per_class``, whose helper columns take free names, and not read otherwise.
 """
 
 from __future__ import annotations
