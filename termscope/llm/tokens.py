@@ -24,6 +24,7 @@ an empty folder.  Extra columns are not read.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -58,6 +59,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, entries: int = _CACHE_ENTRIES):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; waiting threads would burn it
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
