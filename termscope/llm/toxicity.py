@@ -7,8 +7,8 @@ any of its windows is, P = 1 - prod(1 - p_window), so that embeddings and softma
 are learned from document labels alone, and a misspelt word shares most
 n-grams with the word it hides.
 
-A score reads all windows of the whole text: E = sum of -log(1 - p_window) is the
-evidence.  ``level`` is what a window of nine in ten clean training texts has on
+A score reads all windows of the whole text: E = sum of -log(1 - p_window) over its
+different windows is the evidence; a window that comes again is no new evidence.  ``level`` is what a window of nine in ten clean training texts has on
 average at most; the score is logistic in the log of the excess max(E - n level, 0)
 and the log of the number of windows n, with coefficients fitted on the training
 sample.  So every window counts, and a long clean text does not add up.
@@ -95,14 +95,16 @@ class Model:
         return places, np.concatenate(self.sums) if self.sums else np.zeros((0, 2))
 
     def evidence(self, texts: list[str]) -> np.ndarray:
-        """Per text: evidence of all windows, and their number."""
+        """Per text: evidence of its different windows, and their number."""
         worded = [_WORD.findall(t.lower()) for t in texts]
         places, sums = self._places(worded)
         first, last, of = windows([len(w) for w in worded], self.settings.window)
         total = np.concatenate([np.zeros((1, 2)), np.cumsum(sums[places], axis=0)])
         part = total[last] - total[first]
         logit = part[:, 0] / np.maximum(part[:, 1], 1) + self.bias
-        clean = np.bincount(of, np.logaddexp(0, logit), len(texts))  # -log(1 - p_window), added up
+        own = once(places, first, last, of, self.settings.window)
+        of = of[own]
+        clean = np.bincount(of, np.logaddexp(0, logit[own]), len(texts))  # -log(1 - p_window), added up
         return np.stack([clean, np.bincount(of, minlength=len(texts))], axis=1)
 
     def read(self, evidence: np.ndarray) -> np.ndarray:
@@ -174,6 +176,16 @@ def windows(lengths: list[int], size: int) -> tuple[np.ndarray, np.ndarray, np.n
     return start[of] + inner, start[of] + np.minimum(inner + size, n[of]), of
 
 
+def once(words: np.ndarray, first: np.ndarray, last: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+    """Places of the windows without those that have the words of an earlier one of their text (by 64-bit hash)."""
+    key = of.astype(np.uint64)
+    padded = np.concatenate([words.astype(np.uint64) + np.uint64(1), np.zeros(size, np.uint64)])
+    for k in range(size):
+        key = key * np.uint64(0x9E3779B97F4A7C15) + np.where(first + k < last, padded[first + k], np.uint64(0))
+        key ^= key >> np.uint64(29)
+    return np.unique(key, return_index=True)[1]
+
+
 def fit(texts: list[str], labels: list[int], settings: Settings) -> Model:
     """Train embeddings and softmax jointly by mini-batches with Adagrad."""
     if len(set(labels)) < 2:

@@ -90,11 +90,14 @@ def test_scores_against_plain_loops():
         starts = [0]
         while starts[-1] + size < len(words):
             starts.append(starts[-1] + step)
-        evidence = 0.0
+        evidence, seen = 0.0, set()
         for a in starts:
+            if tuple(words[a : a + size]) in seen:
+                continue
+            seen.add(tuple(words[a : a + size]))
             some = [x for w in held[a : a + size] for x in w]
             evidence += math.log1p(math.exp(sum(some) / max(len(some), 1) + model.bias))
-        z = model.shape @ [math.log(max(evidence - len(starts) * model.level, 0) + 3e-3), math.log(len(starts)), 1.0]
+        z = model.shape @ [math.log(max(evidence - len(seen) * model.level, 0) + 3e-3), math.log(len(seen)), 1.0]
         want.append(1 / (1 + math.exp(-z)))
     assert np.allclose(model.scores(texts), want, rtol=1e-6)
 
@@ -106,8 +109,10 @@ def test_all_windows_count():
     clean = [t for (_, t), (_, y) in zip(rows, labels, strict=True) if not y]
     once, often = model.scores(clean), model.scores([" ".join([t] * 100) for t in clean])
     assert np.mean(once < 0.3) > 0.97 and np.mean(often < 0.3) > 0.85
-    one, two = ([f"{t} gribblot {t}" + tail for t in clean] for tail in ("", " gribblot"))
-    assert np.mean(model.scores(one) > 0.5) > 0.95 and (model.scores(two) >= model.scores(one)).mean() > 0.95
+    one = [f"{t} gribblot {t}" for t in clean]
+    two = [f"{t} {u} wumpfish {u}" for t, u in zip(one, reversed(clean), strict=True)]
+    assert np.mean(model.scores(one) > 0.5) > 0.95
+    assert (model.evidence(two)[:, 0] > model.evidence(one)[:, 0]).mean() > 0.95
 
 
 def test_windows_cover_all_words():

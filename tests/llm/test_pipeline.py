@@ -75,5 +75,5 @@ def test_empty_tables(spark, tmp_path):
 
 def test_queries_are_registered():
     numbers = {name.split("_")[0] for name in queries.QUERIES}
-    assert numbers == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert numbers == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
     assert set(queries.ORACLES) <= set(queries.QUERIES)
