@@ -46,17 +46,19 @@ class Settings:
     longest: int = 40  # words of a sentence
 
 
+def _punctuated(text: str) -> list[str]:
+    cuts = [0, *(m.end() for m in _CUT.finditer(text)), len(text)]
+    return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
+
+
+def _cut_long(piece: str, longest: int) -> list[str]:
+    starts = [m.start() for m in WORD.finditer(piece)][longest::longest]
+    return [piece[x:y] for x, y in zip([0, *starts], [*starts, len(piece)], strict=True)]
+
+
 def sentences(text: str, longest: int = Settings.longest) -> list[str]:
     """The text in pieces: each sentence with the blanks behind it."""
-    cuts = [0, *(m.end() for m in _CUT.finditer(text)), len(text)]
-    out = []
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        if b - a > 2 * longest:  # so many words need so many characters
-            starts = [m.start() for m in WORD.finditer(text, a, b)][longest::longest]
-            out += [text[x:y] for x, y in zip([a, *starts], [*starts, b], strict=True)]
-        elif b > a:
-            out.append(text[a:b])
-    return out
+    return [x for piece in _punctuated(text) for x in _cut_long(piece, longest)]
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -85,8 +87,12 @@ class Runs:
 
 
 def runs(text: str, settings: Settings = Settings()) -> Runs:
-    pieces = sentences(text, settings.longest)
-    worded = [WORD.findall(p.lower()) for p in pieces]
+    pieces, worded = [], []  # as ``sentences`` has them
+    for piece in _punctuated(text):
+        words = WORD.findall(piece.lower())  # never fewer than the piece itself has
+        parts = _cut_long(piece, settings.longest) if len(words) > settings.longest else [piece]
+        pieces += parts
+        worded += [words] if len(parts) == 1 else [WORD.findall(p.lower()) for p in parts]
     size = np.fromiter(map(len, worded), np.int64, len(worded))
     at = np.flatnonzero(size)  # sentences with words
     count = size[at]
