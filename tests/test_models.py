@@ -116,6 +116,58 @@ def test_history_plan_has_no_python_and_moves_wide_rows_once(spark):
     assert others <= {("course_id", "subject_key"), ("course_id", "spot"), ("subject_key", "level_key"), ("subject_key", "spot")}
 
 
+@pytest.mark.parametrize("prior_only", [False, True])
+def test_large_courses_are_cut_and_give_the_same(spark, prior_only):
+    rows = section_rows()
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], KINDS).withColumn(
+        "term_numeric", F.when(F.col("class_nbr") != "10007", F.col("term_numeric")))
+    df = df.withColumn("course_id", F.when(F.col("course_id") % 9 != 0, F.col("course_id")))
+    none, some = H.large_courses(df), H.large_courses(df, 8)
+    assert (none.count, none.null) == (0, False) and some.null and 1 < some.count < df.select("course_id").distinct().count()
+    plain, cut = (
+        {r.class_nbr: tuple(r[n] for n in NAMES) for r in H.course_history(df, prior_terms_only=prior_only, large=x).collect()}
+        for x in (none, some))
+    assert plain.keys() == cut.keys() and all(cut[k] == pytest.approx(v) for k, v in plain.items())
+    new, state = df.where("term_numeric = 1262"), H.history_state(df.where("term_numeric is null or term_numeric < 1262"))
+    for r in H.course_history(new, prior_terms_only=prior_only, state=state, large=some).collect():
+        assert tuple(r[n] for n in NAMES) == pytest.approx(plain[r.class_nbr])
+
+
+def test_sections_of_small_courses_add_no_rows_per_chunk(spark):
+    df = spark.createDataFrame([tuple(r.values()) for r in section_rows(20)], KINDS)
+    plan = H.course_history(df)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(course_id#\d+, (subject_key|spot)", plan)
+    assert not re.search(r"Exchange hashpartitioning\(spot#\d+.*\n.*\btie#", plan)
+
+
+def test_prior_terms_meet_stored_totals_without_moving_sections(spark):
+    df = spark.createDataFrame([tuple(r.values()) for r in section_rows(20)], KINDS)
+    plan = H.course_history(df, prior_terms_only=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+
+
+def test_a_wide_category_keeps_no_name_per_place(spark):
+    n = M.NAMED_PLACES + 5
+    df = spark.range(n).select(F.col("id").alias("x"), F.col("id").cast("string").alias("wide"), (F.col("id") % 2).alias("few"))
+    encoded, _, sizes = M.encode(df, ["wide", "few"])
+    assert sizes == [n + 1, 3]
+    assert len(str(encoded.schema["wide_vector"].metadata)) < 200
+    for r in encoded.where("x % 4001 = 0").collect():
+        assert (r.wide_vector.size, list(r.wide_vector.indices), list(r.wide_vector.values)) == (n + 1, [int(r.wide_index)], [1.0])
+        assert (r.few_vector.size, list(r.few_vector.indices)) == (3, [r.few])
+    rows, features = M.model_inputs(df, ["few"], ["wide"], ["few"])
+    assert features.count == n + 2 and {r.raw.size for r in rows.limit(50).collect()} == {n + 2}
+
+
+def test_evaluations_store_no_unused_column(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(E, "materialize", lambda df: stored.append(df.columns) or df.collect() and df)
+    rows = spark.createDataFrame([("1252", "t", "MWF", 1), ("1262", "t", "MWF", 0)], "term_id string, title string, meetings_days string, filled_binary int")
+    with pytest.raises(ZeroDivisionError):  # the inputs are not what is tested
+        E._prepared(rows, lambda df: 1 / 0, M.section_unused())
+    assert stored[0] == ["term_id", "filled_binary"]
+
+
 def test_professor_features_equal_the_joined_form(spark):
     links = spark.createDataFrame(
         [("t", 1, 7, 4.0, 2.0), ("t", 1, 8, None, 3.0), ("t", 2, 7, 1.0, None)],
