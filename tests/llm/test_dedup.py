@@ -239,3 +239,18 @@ def test_spans_keep_no_tail(spark):
     assert got == want
     second = len(passages)
     assert [got[second + k] for k in range(5)] == [[1, 2, 3], [1, 2, 3], [1, 2, 3, 4, 5], [1, 2, 3], []]
+
+
+def test_spans_read_texts_at_once_as_one_by_one():
+    words = "One two. Three\n\nfour _5 six! \tSeven?\nEight é\u00df 'nine' " + "x" * 70 + " ten"
+    chunk = [words, "", " . a", words.upper(), ". \n b\x00c\n", "no stop " * 9]
+    found = spans.sentences_of(chunk, 4)
+    alone = [spans._read_slowly(t, 4) for t in chunk]
+    for name in ("count", "start", "words", "hashes"):
+        assert getattr(found, name).tolist() == [x for one in alone for x in getattr(one, name).tolist()]
+    border = [0, *found.count.cumsum().tolist()]
+    for t, a, b in zip(chunk, border, border[1:]):
+        starts = [*found.start[a:b].tolist(), len(t)]
+        assert [t[x:y] for x, y in zip(starts, starts[1:])] == spans.sentences(t, 4)
+    for odd in ("\u0130stanbul. ", "\u039f\u03a3 \u03a3\u0391. "):  # letters that are read one text at a time
+        assert spans.sentences_of([odd * 3], 4).words.tolist() == [len(spans.WORD.findall(p.lower())) for p in spans.sentences(odd * 3, 4)]
