@@ -21,7 +21,7 @@ from termscope.operators import ingest as I
 from termscope.operators import requirements as Q
 from termscope.operators import reviews as R
 from termscope.operators import upsert as U
-from termscope.session import materialize
+from termscope.session import materialize, spread
 from termscope.sources import classes as C
 
 Tables = Mapping[str, DataFrame]
@@ -78,6 +78,7 @@ def load_review_pages(
     table.  Ratings go to the links of ``term``; reviews that are known stay as they are.
     """
     counts: dict[str, int] = {}
+    listings, professor_pages = spread(listings), spread(professor_pages)
     links = _stored(X.page_links(listings, base_url), "links", counts)
     ratings = R.match_unique_name(X.page_ratings(listings, base_url), tables["professor"]).where("professor_id is not null")
     new = R.review_rows(X.review_blocks(professor_pages), tables["professor"], positive, negative)

@@ -5,9 +5,11 @@ import time
 
 from pyspark.sql import functions as F
 
+from termscope import schemas as S
 from termscope.operators import extract as X
 from termscope.operators import requirements as Q
 from termscope.operators import reviews as R
+from termscope.plans import load
 from termscope.sources import html as H
 
 SITE = "https://site.example"
@@ -188,3 +190,17 @@ def test_aspects(spark):
         "professor_personality": (1, 1, 0, "negative"), "assessments": (2, 3, 0, "negative"),
     }
     assert R.summarize_aspects(rows).count() == 4
+
+
+def test_review_pages_of_one_file_are_read_in_many_tasks(spark, monkeypatch):
+    seen, blocks = {}, X.review_blocks
+    monkeypatch.setattr(load.X, "review_blocks", lambda pages: seen.update(tasks=pages.rdd.getNumPartitions()) or blocks(pages))
+    rows = [(n, "CS", "1000", "Ann", f"/p/{n}", "<div>Fall 2023<br>Updated 10/1/23<br>fine<br>class</div>") for n in range(40)]
+    pages = spark.createDataFrame(
+        rows, "course_id int, subject string, catalog_nbr string, professor_name string, professor_page_url string, raw_html string")
+    pages = pages.withColumn("fetched_at", F.timestamp_seconds(F.lit(0))).coalesce(1)
+    tables = {"review": spark.createDataFrame([], S.REVIEW), "professor": spark.createDataFrame([("p", "Ann", "e")], S.PROFESSOR),
+              "section_professor": spark.createDataFrame([], S.SECTION_PROFESSOR)}
+    loaded = load.load_review_pages(tables, frame(spark, PAGE), pages, SITE, "1")
+    assert seen["tasks"] > 1
+    assert loaded.tables["review"].count() == 40
