@@ -3,6 +3,7 @@
 import random
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from termscope import schemas as S
@@ -192,6 +193,15 @@ def test_aspects(spark):
     assert R.summarize_aspects(rows).count() == 4
 
 
+def test_outlines_are_made_few_at_once(monkeypatch):
+    pages = pa.array([PAGE, None, "", "<p>x</p>"] * 40)
+    whole, sizes, made = [H._outline(p) for p in pages.to_pylist()], [], pa.array
+    monkeypatch.setattr(H.pa, "array", lambda rows, *a, **k: sizes.append(len(rows)) or made(rows, *a, **k))
+    assert H._outline_batch(pages).to_pylist() == whole
+    assert H._outline_batch(pages[:0]).to_pylist() == []
+    assert max(sizes) <= 32
+
+
 def test_review_pages_of_one_file_are_read_in_many_tasks(spark, monkeypatch):
     seen, blocks = {}, X.review_blocks
     monkeypatch.setattr(load.X, "review_blocks", lambda pages: seen.update(tasks=pages.rdd.getNumPartitions()) or blocks(pages))
