@@ -26,8 +26,8 @@ def course_sentiment(summary: DataFrame) -> DataFrame:
 
 def term_professors(links: DataFrame, professor: DataFrame) -> DataFrame:
     """Distinct professor names per (term, course), sorted and joined by ", "."""
-    named = links.join(professor, "professor_id").select("term_id", "course_id", "name").distinct()
-    names = F.array_join(F.array_sort(F.collect_list("name")), ", ")
+    named = links.join(professor, "professor_id").select("term_id", "course_id", "name")
+    names = F.array_join(F.array_sort(F.collect_set("name")), ", ")  # distinct names of their own would be dealt out twice
     return named.groupBy("term_id", "course_id").agg(names.alias("professor_names"))
 
 

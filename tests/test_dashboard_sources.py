@@ -60,3 +60,15 @@ def test_feature_order(spark):
     rows = spark.createDataFrame([(2, "A", 1, "x"), (1, "B", 9, "y"), (1, "B", 2, "z")],
                                  "term_numeric int, subject_id string, catalog_nbr int, class_nbr string")
     assert [r.class_nbr for r in P.feature_order(rows).collect()] == ["z", "y", "x"]
+
+
+def test_professor_names_are_dealt_out_once(spark):
+    links = spark.createDataFrame(
+        [("1", 7, "a"), ("1", 7, "b"), ("1", 7, "a"), ("1", 7, "c"), ("2", None, "b"), (None, 7, "n"), ("1", 8, None), ("1", 9, "x")],
+        "term_id string, course_id int, professor_id string")
+    people = spark.createDataFrame(
+        [("a", "Zoe"), ("b", "Bo"), ("c", "Zoe"), ("n", None), (None, "No")], "professor_id string, name string")
+    names = W.term_professors(links, people)
+    assert {tuple(r) for r in names.collect()} == {("1", 7, "Bo, Zoe"), ("2", None, "Bo"), (None, 7, "")}
+    plan = names._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Aggregate(") == 2  # one partial, one final
