@@ -103,7 +103,7 @@ def raw_classes(spark, sf_dir):
         F.when(n % 7 == 0, F.lit(None)).when(n % 7 == 1, F.array().cast(_MEETINGS)).otherwise(F.array(meeting)).alias("meetings"),
         F.when(n % 6 == 0, F.lit(None)).when(n % 6 == 1, F.array(person, other)).otherwise(F.array(person)).alias("instructors"),
     ))
-    return B.section(spark, sf_dir).select(
+    return B.section(spark, sf_dir, wide=True).select(
         "term_id", "class_nbr", payload.alias("payload"), (n % 9).alias("page_fetched"),
         F.lit("2024-01-01").cast("timestamp").alias("fetched_at"),
     )

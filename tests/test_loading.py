@@ -4,6 +4,8 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from checks import bindings as B
+from checks import loading as L
 from termscope import schemas as S
 from termscope.operators import features as P
 from termscope.operators import ingest as I
@@ -78,6 +80,16 @@ def test_payload_rows(spark):
     assert (loaded.title, loaded.component, loaded.has_lab, loaded.credits) == ("A", "LEC", True, Decimal("3.0"))
 
 
+def test_payloads_are_built_in_every_task_of_a_shuffle(spark, tmp_path):
+    spark.range(400).selectExpr(
+        "IF(id % 11 = 0, NULL, id % 7) AS l_partkey", "id % 5 AS l_suppkey", "CAST(id % 3 AS double) AS l_quantity",
+        "timestamp_seconds(1700000000 + id % 9 * 9000000) AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    narrow, wide = B.section(spark, str(tmp_path)), B.section(spark, str(tmp_path), wide=True)
+    assert wide.columns == narrow.columns
+    assert sorted(map(repr, wide.collect())) == sorted(map(repr, narrow.collect()))
+    assert L.raw_classes(spark, str(tmp_path)).rdd.getNumPartitions() == 4
+
+
 def test_section_reload_keeps_counts(spark):
     first = raw_docs(spark, [(1, '{"crse_id":1,"class_capacity":5,"enrollment_total":3,"meetings":[{"days":"MW"}]}')])
     again = raw_docs(spark, [(2, '{"crse_id":2,"class_capacity":8,"enrollment_total":9,"meetings":[{"days":"TR"}]}')])
