@@ -12,6 +12,7 @@ from termscope.functions.codes import sigmoid
 from termscope.functions.text import course_codes
 from termscope.operators.extract import has_html, requirement_items
 from termscope.operators.upsert import dedupe, replace_slice, upsert, with_id
+from termscope.session import spread
 
 SOURCE_KEYS = ("program_type", "program_code", "catalog_year", "source_url")
 SOURCE_UPDATES = ("school", "program_name", "source_title", "source_format", "confidence", "fetched_at")
@@ -203,7 +204,7 @@ def requirement_join(
         program.select("program_id", "program_code")
         .join(group.select("program_id", "group_id"), "program_id")
         .join(rule.select("group_id", "rule_id"), "group_id")
-        .join(courses.select("rule_id", "course_id"), "rule_id")
+        .join(spread(courses.select("rule_id", "course_id"), "rule_id"), "rule_id")
         .filter(F.col("course_id").isNotNull())
     )
     if section is None:
@@ -211,15 +212,17 @@ def requirement_join(
     return rows.join(section.select("course_id", "term_id", "class_nbr"), "course_id", "left")
 
 
-def requirement_counts(joined: DataFrame) -> DataFrame:
-    """How many programmes, groups and rules mention each course."""
-    # One pass per level on ever smaller distinct rows, instead of three
-    # distinct counts that would triple the input.
+def _program_counts(joined: DataFrame) -> DataFrame:
+    """How many groups and rules of each programme mention each course."""
+    # One pass per level on ever smaller distinct rows, instead of distinct counts that would multiply the
+    # input. Both levels above the rules happen where the rows of a programme and course are dealt to.
     rules = joined.select("course_id", "program_id", "group_id", "rule_id").distinct()
-    groups = rules.groupBy("course_id", "program_id", "group_id").agg(F.count("*").alias("rules"))
-    programs = groups.groupBy("course_id", "program_id").agg(
-        F.count("*").alias("groups"), F.sum("rules").alias("rules")
-    )
+    groups = spread(rules.drop("rule_id"), "program_id", "course_id").groupBy(
+        "course_id", "program_id", "group_id").agg(F.count("*").alias("rules"))
+    return groups.groupBy("course_id", "program_id").agg(F.count("*").alias("groups"), F.sum("rules").alias("rules"))
+
+
+def _course_counts(programs: DataFrame) -> DataFrame:
     return programs.groupBy("course_id").agg(
         F.count("*").alias("required_by_major_count"),
         F.sum("groups").alias("requirement_group_count"),
@@ -227,11 +230,18 @@ def requirement_counts(joined: DataFrame) -> DataFrame:
     )
 
 
+def requirement_counts(joined: DataFrame) -> DataFrame:
+    """How many programmes, groups and rules mention each course."""
+    return _course_counts(_program_counts(joined))
+
+
 def requirement_signals(joined: DataFrame, demand: DataFrame) -> DataFrame:
     """Add major_required and the three counts to (program_id, course_id) rows."""
-    listed = joined.select("program_id", "course_id").distinct().withColumn("major_required", F.lit(1))
+    programs = _program_counts(joined)
+    # Needs the counts, so that both uses read one shuffle and ``joined`` is computed once.
+    listed = programs.select("program_id", "course_id", F.when(F.col("rules") > 0, 1).alias("major_required"))
     rows = demand.join(listed, ["program_id", "course_id"], "left").join(
-        requirement_counts(joined), "course_id", "left"
+        _course_counts(programs), "course_id", "left"
     )
     names = (
         "major_required", "required_by_major_count", "requirement_group_count", "requirement_rule_count",

@@ -120,6 +120,29 @@ def test_page_text(spark):
     assert all(line == line.strip() and line for line in text)
 
 
+def test_requirement_signals_deal_the_rules_once(spark):
+    rng = random.Random(5)
+    rows = {(rng.randrange(4), rng.randrange(9), rng.randrange(60), rng.choice([None, *range(7)])) for _ in range(300)}
+    line = spark.createDataFrame(
+        [(p, f"{p}-{g}", f"{p}-{g}-{r}", c) for p, g, r, c in rows for _ in range(2)],
+        "program_id int, group_id string, rule_id string, course_id int").repartition(3)
+    program = spark.createDataFrame([(p, f"P{p}") for p in range(3)], "program_id int, program_code string")
+    joined = Q.requirement_join(program, line, line, line)
+    demand = spark.createDataFrame([(p, c) for p in range(5) for c in (None, *range(9))], "program_id int, course_id int")
+    out = Q.requirement_signals(joined, demand)
+    got = {(r.program_id, r.course_id): tuple(r)[2:] for r in out.collect()}
+
+    listed = [(p, f"{p}-{g}", f"{p}-{g}-{r}", c) for p, g, r, c in rows if p < 3 and c is not None]
+    for (p, c), signals in got.items():
+        mine = [x for x in listed if x[3] == c]
+        counts = tuple(len({x[:n] for x in mine}) for n in (1, 2, 3))
+        assert signals == (int(any(x[0] == p for x in mine)), *counts)
+    assert len(got) == 50
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(program_id" in x and "REPARTITION_BY_NUM" in x]
+    assert len(dealt) == 2 and sum("ReusedExchange" in x for x in plan.splitlines()) >= 1
+
+
 def test_requirement_rules(spark):
     pages = frame(spark, PAGE).withColumn("program_code", F.lit("P")).withColumn("source_id", F.lit(5))
     rules = Q.requirement_rules(pages)
