@@ -15,11 +15,11 @@ from termscope.session import materialize
 
 
 def features(spark, sf_dir):
-    return tidy(enrollment_features(B.tables(spark, sf_dir)))
+    return tidy(enrollment_features(B.tables(spark, sf_dir), dealt=B.dealt(spark, sf_dir)))
 
 
 def features_legacy(spark, sf_dir):
-    return tidy(enrollment_features(B.tables(spark, sf_dir, legacy=True)))
+    return tidy(enrollment_features(B.tables(spark, sf_dir, legacy=True), dealt=B.dealt(spark, sf_dir, legacy=True)))
 
 
 def meeting_features(spark, sf_dir):
